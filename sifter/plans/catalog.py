@@ -224,3 +224,276 @@ def q_eval_split(spark, sf_dir):
     docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
     return splits.eval_rows(kept_corpus(spark, sf_dir), splits.assign_splits(docs), 2) \
         .select("id", "orig_type", "type")
+
+
+# --------------------------------------------------------------- step 2: text
+from sifter.functions import clean as C  # noqa: E402
+from sifter.functions.stem import stem_table  # noqa: E402
+from sifter.operators import features as FE  # noqa: E402
+from sifter.operators import vocab as V  # noqa: E402
+
+PLAN = splits.SplitPlan()
+
+TRAIN_SQL = KEPT_SQL + """,
+deduped AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY left(coalesce(content, ''), 500) ORDER BY id) AS rn
+    FROM kept) WHERE rn = 1
+),
+dsplit AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY md5('42-' || CAST(id AS VARCHAR))) - 1) % 10 + 1
+                 AS INTEGER) AS split
+  FROM deduped
+),
+train AS (SELECT * FROM dsplit WHERE split NOT IN (1, 2)),
+toks AS (
+  SELECT id, type, unnest(""" + C.tokens_sql(C.clean_sql("content")) + """) AS word FROM train
+),
+terms AS (SELECT type, id, word, CAST(count(*) AS INTEGER) AS n FROM toks GROUP BY type, id, word),
+counts AS (SELECT type, word, count(*) AS n_docs, sum(n) AS n_total FROM terms GROUP BY type, word),
+wide AS (
+  SELECT word,
+         coalesce(sum(n_docs) FILTER (WHERE type = 'fake'), 0) AS fake_docs,
+         coalesce(sum(n_total) FILTER (WHERE type = 'fake'), 0) AS fake_total,
+         coalesce(sum(n_docs) FILTER (WHERE type = 'reliable'), 0) AS reliable_docs,
+         coalesce(sum(n_total) FILTER (WHERE type = 'reliable'), 0) AS reliable_total,
+         sum(n_docs) AS freq_docs, sum(n_total) AS freq_total
+  FROM counts GROUP BY word
+)"""
+
+
+def cut_sql(head: float, tail: float) -> str:
+    """Cut bounds as prefix sums over words (not over a histogram)."""
+    return f""",
+ranked AS (
+  SELECT word, freq_total,
+         sum(freq_total) OVER (ORDER BY freq_total DESC
+                               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c,
+         sum(freq_total) OVER () AS t
+  FROM wide
+),
+up AS (
+  SELECT max(freq_total) FILTER (WHERE c - freq_total >= CAST({float(head)!r} AS DOUBLE) * t) AS upper,
+         min(freq_total) AS least FROM ranked
+),
+bounds AS (
+  SELECT up.upper,
+         CASE WHEN up.upper IS NULL THEN NULL ELSE coalesce(
+           (SELECT max(freq_total) FROM ranked
+            WHERE freq_total < up.upper
+              AND c - freq_total >= CAST({float(1 - tail)!r} AS DOUBLE) * t), up.least) END AS lower
+  FROM up
+),
+vocab AS (
+  SELECT w.* FROM wide w, bounds b WHERE w.freq_total >= b.lower AND w.freq_total < b.upper
+)"""
+
+
+def train_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label-filtered, de-duplicated articles with a balanced split,
+    training splits only (the word table's input)."""
+    deduped = dedup.drop_duplicates(kept_corpus(spark, sf_dir))
+    return splits.train_rows(splits.assign_splits(deduped), PLAN)
+
+
+def train_wide(spark, sf_dir, stem=False):
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=stem)
+    return V.to_wide(V.word_counts(long))
+
+
+@register("clean_text", "SELECT doc_id AS id, " + C.clean_sql("text") + " AS clean FROM documents")
+def q_clean_text(spark, sf_dir):
+    """Clean text (F1): fold, placeholders, no punctuation, lower case."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), C.clean_text("text").alias("clean"))
+
+
+@register("clean_text_light",
+          "SELECT doc_id AS id, " + C.clean_sql("text", C.LIGHT) + " AS clean FROM documents")
+def q_clean_text_light(spark, sf_dir):
+    """Clean text, notebook variant (F2): only punctuation removal on."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), C.clean_text("text", C.LIGHT).alias("clean"))
+
+
+@register("tokenize", """
+SELECT doc_id AS id, CAST(pos AS INTEGER) AS pos, token FROM (
+  SELECT doc_id, generate_subscripts(toks, 1) - 1 AS pos, unnest(toks) AS token
+  FROM (SELECT doc_id, """ + C.tokens_sql(C.clean_sql("text")) + """ AS toks FROM documents))""")
+def q_tokenize(spark, sf_dir):
+    """Tokenise cleaned text (F3): whitespace split, no empty tokens."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"),
+                       F.posexplode(C.tokenize(C.clean_text("text"))).alias("pos", "token"))
+
+
+@register("stem_tokens")
+def q_stem_tokens(spark, sf_dir):
+    """Porter stems (F4) of every distinct token of the corpus."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    toks = docs.select(F.explode(C.tokenize(C.clean_text("text"))).alias("token"))
+    return stem_table(toks, "token")
+
+
+# -------------------------------------------------------------- step 3: words
+@register("word_counts", "WITH " + TRAIN_SQL + " SELECT type, word, n_docs, n_total FROM counts")
+def q_word_counts(spark, sf_dir):
+    """Word counts per label (A1) over the training splits of the
+    de-duplicated corpus: articles containing the word and occurrences."""
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=False)
+    return V.word_counts(long)
+
+
+@register("word_counts_stemmed")
+def q_word_counts_stemmed(spark, sf_dir):
+    """Word counts per label on stemmed tokens (A1 + F4, merge='exact')."""
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=True)
+    return V.word_counts(long)
+
+
+@register("word_table_wide", "WITH " + TRAIN_SQL + " SELECT * FROM wide")
+def q_word_table_wide(spark, sf_dir):
+    """Wide word table (S6, F12): fake, reliable and freq = their sum."""
+    return train_wide(spark, sf_dir)
+
+
+@register("stem_merge", "WITH " + TRAIN_SQL + """
+SELECT type, left(word, 5) AS word, sum(n_docs) AS n_docs, sum(n_total) AS n_total
+FROM counts GROUP BY type, left(word, 5)""")
+def q_stem_merge(spark, sf_dir):
+    """Stem merge (A2, merge='sum') with ``left(token, 5)`` as the stem
+    table, so both engines can state it."""
+    counts = V.word_counts(FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=False))
+    stems = counts.select("word").distinct().withColumn("stem", F.substring("word", 1, 5))
+    return V.merge_stems(counts, stems, "sum")
+
+
+@register("stem_merge_first", "WITH " + TRAIN_SQL + """,
+firstpos AS (SELECT word, min(id) AS first_pos FROM terms GROUP BY word),
+firstform AS (
+  SELECT left(word, 5) AS stem, arg_min(word, (first_pos, word)) AS first FROM firstpos
+  GROUP BY left(word, 5)
+)
+SELECT c.type, left(c.word, 5) AS word,
+       coalesce(max(CASE WHEN c.word = f.first THEN c.n_docs END), 0) AS n_docs,
+       coalesce(max(CASE WHEN c.word = f.first THEN c.n_total END), 0) AS n_total
+FROM counts c JOIN firstform f ON left(c.word, 5) = f.stem
+GROUP BY c.type, left(c.word, 5)""")
+def q_stem_merge_first(spark, sf_dir):
+    """Stem merge, parity mode (A2, merge='first_form'): the form first
+    seen (lowest article id) keeps its counts."""
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=False)
+    counts = V.word_counts(long)
+    stems = counts.select("word").distinct().withColumn("stem", F.substring("word", 1, 5))
+    first_seen = long.groupBy("word").agg(F.min("id").alias("first_pos"))
+    return V.merge_stems(counts, stems, "first_form", first_seen)
+
+
+@register("vocab_cut", "WITH " + TRAIN_SQL + cut_sql(0.5, 0.05) + " SELECT word, freq_total FROM vocab")
+def q_vocab_cut(spark, sf_dir):
+    """Vocabulary cut by mass (A3, W6, W9): head 0.5, tail 0.05."""
+    return V.cut(train_wide(spark, sf_dir), 0.5, 0.05).select("word", "freq_total")
+
+
+@register("vocab_cut_stats", "WITH " + TRAIN_SQL + cut_sql(0.5, 0.05) + """
+SELECT count(*) AS words_before,
+       count(*) FILTER (WHERE w.freq_total >= b.lower AND w.freq_total < b.upper) AS words_after,
+       count(*) FILTER (WHERE NOT coalesce(w.freq_total >= b.lower AND w.freq_total < b.upper, false))
+         AS words_removed,
+       count(*) FILTER (WHERE b.upper IS NULL OR w.freq_total >= b.upper) AS removed_head,
+       count(*) FILTER (WHERE w.freq_total < b.lower) AS removed_tail,
+       min(b.lower) AS min_level
+FROM wide w, bounds b""")
+def q_vocab_cut_stats(spark, sf_dir):
+    """Cut statistics (A4)."""
+    return V.cut_stats(train_wide(spark, sf_dir), 0.5, 0.05)
+
+
+DOC_TERMS_SQL = """
+dterms AS (
+  SELECT id, word, CAST(count(*) AS INTEGER) AS n FROM (
+    SELECT doc_id AS id, unnest(""" + C.tokens_sql(C.clean_sql("text")) + """) AS word
+    FROM documents) GROUP BY id, word
+)"""
+
+
+def doc_corpus(spark, sf_dir):
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+
+
+@register("bag_of_words", "WITH " + DOC_TERMS_SQL + " SELECT id, word, n FROM dterms")
+def q_bag_of_words(spark, sf_dir):
+    """Bag of words (F5, F6 without stemming) in long form."""
+    return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False)
+
+
+@register("bag_of_words_stemmed")
+def q_bag_of_words_stemmed(spark, sf_dir):
+    """Bag of words with Porter stems (F6) in long form."""
+    return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=True)
+
+
+@register("bag_vocab_filtered", "WITH " + TRAIN_SQL + cut_sql(0.5, 0.05) + "," + DOC_TERMS_SQL + """
+SELECT id, word, n FROM dterms WHERE word IN (SELECT word FROM vocab)""")
+def q_bag_vocab_filtered(spark, sf_dir):
+    """Bag restricted to the cut vocabulary (F7, J6: semi join)."""
+    vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
+    return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False, vocab=vocab)
+
+
+@register("bow_entropy", "WITH " + DOC_TERMS_SQL + """,
+tot AS (SELECT id, sum(n) AS l FROM dterms GROUP BY id)
+SELECT d.id, round(sum(d.n / t.l * log2(t.l / d.n)), 6) AS entropy
+FROM dterms d JOIN tot t ON d.id = t.id GROUP BY d.id""")
+def q_bow_entropy(spark, sf_dir):
+    """Entropy of each article's bag."""
+    bags = FE.bag_map(FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False))
+    return bags.select("id", F.round(FE.bow_entropy("words"), 6).alias("entropy"))
+
+
+@register("bow_size", "WITH " + DOC_TERMS_SQL + """
+SELECT d.doc_id AS id, CAST(count(t.word) AS INTEGER) AS n_words, coalesce(sum(t.n), 0) AS n_tokens
+FROM documents d LEFT JOIN dterms t ON d.doc_id = t.id GROUP BY d.doc_id""")
+def q_bow_size(spark, sf_dir):
+    """Distinct words (F11) and tokens per article; empty articles get an
+    empty bag."""
+    bags = FE.with_bags(doc_corpus(spark, sf_dir), stem=False)
+    return bags.select("id", FE.bag_size("words").alias("n_words"),
+                       F.aggregate(F.map_values("words"), F.lit(0).cast("long"),
+                                   lambda a, x: a + x).alias("n_tokens"))
+
+
+@register("add_feature", "WITH " + DOC_TERMS_SQL + """
+SELECT id, word AS key, CAST(n AS DOUBLE) AS value FROM dterms WHERE word <> 'content_len'
+UNION ALL
+SELECT doc_id AS id, 'content_len' AS key, CAST(length(text) AS DOUBLE) AS value FROM documents""")
+def q_add_feature(spark, sf_dir):
+    """Scalar feature into the bag (F15, F16): ``content_len`` under its
+    own key, shown as map entries."""
+    bags = FE.with_bags(doc_corpus(spark, sf_dir), stem=False)
+    with_len = bags.select("id", FE.add_feature("words", "content_len",
+                                                F.length("content")).alias("words"))
+    return with_len.select("id", F.explode("words").alias("key", "value"))
+
+
+@register("top_words", "WITH " + DOC_TERMS_SQL + """
+SELECT word, sum(n) AS total FROM dterms GROUP BY word ORDER BY total DESC, word LIMIT 30""")
+def q_top_words(spark, sf_dir):
+    """Top 30 words over all bags."""
+    return V.top_words(FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False), 30)
+
+
+@register("word_slice", "WITH " + TRAIN_SQL + """
+SELECT word, freq_total FROM wide ORDER BY freq_total DESC, word LIMIT 50 OFFSET 1000""")
+def q_word_slice(spark, sf_dir):
+    """Rows 1000..1050 of the word table by total."""
+    return V.word_slice(train_wide(spark, sf_dir), 1000, 50).select("word", "freq_total")
+
+
+@register("fr_ratio", "WITH " + TRAIN_SQL + """
+SELECT word, CASE WHEN reliable_docs = 0 THEN CAST('inf' AS DOUBLE)
+                  ELSE fake_docs / reliable_docs END AS fr_ratio FROM wide""")
+def q_fr_ratio(spark, sf_dir):
+    """Fake-to-reliable article ratio per word."""
+    return V.fr_ratio(train_wide(spark, sf_dir))
