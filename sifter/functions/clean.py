@@ -3,8 +3,8 @@
 Our cleaning contract (fixed order):
 
   currency -> ASCII fold -> URL -> e-mail -> phone -> number -> digit
-  -> emoji -> punctuation -> any non-ASCII run to one space -> lower
-  -> whitespace collapse and trim
+  -> emoji -> punctuation -> any non-ASCII run to one space
+  -> whitespace collapse -> lower -> trim
 
 Every step is ``translate``/``replace``/``regexp_replace``/``lower``, so
 the chain stays inside whole-stage codegen and no Python worker runs.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values --------------------------------------------------------
@@ -76,51 +76,82 @@ LIGHT = CleanOptions(urls=False, emails=False, phones=False, numbers=False, digi
 
 
 def _steps(opts: CleanOptions):
-    """(kind, a, b) steps; shared by the Spark and the SQL rendering."""
+    """(kind, a, b, guard) steps; shared by the Spark and the SQL rendering.
+
+    ``guard`` is a literal substring without which the step cannot match;
+    Spark skips the regex for such rows (a cheap ``instr``), SQL ignores it.
+    Merged passes are exact rewrites of the contract: numbers leave no
+    digit behind, so the digit step runs only when numbers are kept;
+    emoji and punctuation are both deleted, so they share one class;
+    non-ASCII runs and whitespace runs both end as one space.
+    """
     steps = []
     if opts.currency:
-        steps.append(("re", CURRENCY_RE, opts.ph("currency")))
-    steps.append(("translate", FOLD_FROM, FOLD_TO))
+        steps.append(("re", CURRENCY_RE, opts.ph("currency"), None))
+    steps.append(("translate", FOLD_FROM, FOLD_TO, None))
     for a, b in FOLD_MULTI:
-        steps.append(("replace", a, b))
+        steps.append(("replace", a, b, None))
     if opts.urls:
-        steps.append(("re", URL_RE, opts.ph("url")))
+        steps.append(("re", URL_RE, opts.ph("url"), ("://", "www.")))
     if opts.emails:
-        steps.append(("re", EMAIL_RE, opts.ph("email")))
+        steps.append(("re", EMAIL_RE, opts.ph("email"), ("@",)))
     if opts.phones:
-        steps.append(("re", PHONE_RE, opts.ph("phone")))
+        steps.append(("re", PHONE_RE, opts.ph("phone"), None))
     if opts.numbers:
-        steps.append(("re", NUMBER_RE, opts.ph("number")))
-    if opts.digits:
-        steps.append(("re", DIGIT_RE, opts.ph("digit")))
-    if opts.emoji:
-        steps.append(("re", EMOJI_RE, ""))
-    if opts.punct:
-        steps.append(("re", PUNCT_RE, ""))
-    steps.append(("re", NON_ASCII_RE, " "))
-    steps.append(("lower", None, None))
-    steps.append(("re", SPACE_RE, " "))
-    steps.append(("trim", None, None))
+        steps.append(("re", NUMBER_RE, opts.ph("number"), None))
+    elif opts.digits:
+        steps.append(("re", DIGIT_RE, opts.ph("digit"), None))
+    drop = [r for on, r in ((opts.emoji, EMOJI_RE[1:-1]), (opts.punct, PUNCT_RE)) if on]
+    if drop:
+        steps.append(("re", "[" + "".join(drop) + "]", "", None))
+    steps.append(("re", "(?:" + NON_ASCII_RE + "|" + SPACE_RE + ")+", " ", None))
+    steps.append(("lower", None, None, None))
+    steps.append(("trim", None, None, None))
     return steps
 
 
+def _apply(c: Column, kind: str, a, b) -> Column:
+    if kind == "re":
+        return F.regexp_replace(c, a, b)
+    if kind == "translate":
+        return F.translate(c, a, b)
+    if kind == "replace":
+        return F.replace(c, F.lit(a), F.lit(b))
+    if kind == "lower":
+        return F.lower(c)
+    return F.trim(c)
+
+
 def clean_text(col: Column | str, opts: CleanOptions = DEFAULT) -> Column:
-    """Cleaned text; null text cleans to ''."""
+    """Cleaned text as one column expression; null text cleans to ''."""
     c = F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
-    for kind, a, b in _steps(opts):
-        if kind == "re":
-            c = F.regexp_replace(c, a, b)
-        elif kind == "translate":
-            c = F.translate(c, a, b)
-        elif kind == "replace":
-            c = F.replace(c, F.lit(a), F.lit(b))
-        elif kind == "lower":
-            c = F.lower(c)
-        elif kind == "trim":
-            c = F.trim(c)
+    for kind, a, b, _ in _steps(opts):
+        c = _apply(c, kind, a, b)
     return c
 
 
+def with_clean(df: DataFrame, text_col: str, out_col: str = "clean",
+               opts: CleanOptions = DEFAULT) -> DataFrame:
+    """Add ``out_col`` = cleaned text.  Unguarded steps are chained in one
+    expression; a guarded step (one that needs a literal such as ``@``)
+    gets its own projection, so its ``instr`` test and its regex read a
+    column instead of re-evaluating the chain before it."""
+    c = F.coalesce(F.col(text_col), F.lit(""))
+    for kind, a, b, guard in _steps(opts):
+        if guard:
+            df = df.withColumn(out_col, c)
+            cur = F.col(out_col)
+            hit = None
+            for g in guard:
+                h = F.instr(cur, g) > 0
+                hit = h if hit is None else (hit | h)
+            df = df.withColumn(out_col, F.when(hit, _apply(cur, kind, a, b)).otherwise(cur))
+            c = F.col(out_col)
+        else:
+            c = _apply(c, kind, a, b)
+    return df.withColumn(out_col, c)
+
+
 def tokenize(col: Column | str) -> Column:
     """Split cleaned text on spaces; no empty tokens."""
     c = F.col(col) if isinstance(col, str) else col
@@ -134,7 +165,7 @@ def _sql_lit(s: str) -> str:
 def clean_sql(expr: str, opts: CleanOptions = DEFAULT) -> str:
     """The same chain as DuckDB SQL over the text expression ``expr``."""
     c = f"coalesce({expr}, '')"
-    for kind, a, b in _steps(opts):
+    for kind, a, b, _ in _steps(opts):
         if kind == "re":
             c = f"regexp_replace({c}, {_sql_lit(a)}, {_sql_lit(b)}, 'g')"
         elif kind == "translate":

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions import clean as C
-from sifter.functions.stem import with_stem
+from sifter.functions.stem import stem_table
+from sifter.session import checkpoint
 
 
 def with_tokens(df: DataFrame, text_col: str = "content", out_col: str = "tokens",
@@ -27,14 +29,32 @@ def with_tokens(df: DataFrame, text_col: str = "content", out_col: str = "tokens
 def terms(df: DataFrame, id_cols: Sequence[str] = ("id",), text_col: str = "content",
           stem: bool = True, vocab: DataFrame | None = None,
           opts: C.CleanOptions = C.DEFAULT) -> DataFrame:
-    """Long bag: (*id_cols, word, n) -- clean, tokenise, [stem], [keep
-    only vocabulary words], count per article."""
-    toks = (df.select(*id_cols, F.explode(C.tokenize(C.clean_text(text_col, opts))).alias("word")))
+    """Long bag: (*id_cols, word, n) -- clean, tokenise, count per
+    article, [stem], [keep only vocabulary words].
+
+    Stemming runs once per distinct token (``stem_table``), joined back on
+    the token and re-counted per stem: the stem table grows with the
+    vocabulary, not with the text.  The stem table is written with a
+    reliable checkpoint: that cuts its lineage, and it keeps the
+    optimizer from pushing inferred filters through the stemming
+    projections (each step reads the word many times, so substituting
+    step into step grows the expression exponentially).  The per-article
+    counts are persisted so the text is cleaned once for both uses.  AQE
+    broadcasts the stem table when its measured size allows and splits
+    hot-token partitions otherwise.
+    """
+    cleaned = C.with_clean(df.select(*id_cols, text_col), text_col, "_clean", opts)
+    toks = cleaned.select(*id_cols, F.explode(C.tokenize("_clean")).alias("word"))
+    counted = toks.groupBy(*id_cols, "word").agg(F.count(F.lit(1)).cast("int").alias("n"))
     if stem:
-        toks = with_stem(toks, "word", "word")
+        counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+        stems = checkpoint(stem_table(counted.select("word"), "word"))
+        counted = (counted.join(stems, "word")
+                   .groupBy(*id_cols, F.col("stem").alias("word"))
+                   .agg(F.sum("n").cast("int").alias("n")))
     if vocab is not None:
-        toks = toks.join(vocab.select("word"), "word", "left_semi")
-    return toks.groupBy(*id_cols, "word").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        counted = counted.join(vocab.select("word"), "word", "left_semi")
+    return counted
 
 
 def bag_map(long: DataFrame, id_col: str = "id") -> DataFrame:

@@ -32,10 +32,19 @@ def hash_unit(id_col: str = "id", seed: int = 42) -> Column:
 def assign_splits(df: DataFrame, k: int = 10, seed: int = 42, balanced: bool = True,
                   id_col: str = "id", bucket_digits: int = 4,
                   out_col: str = "split") -> DataFrame:
+    """Add ``out_col`` (1..k).  The balanced rank is computed on the id
+    column alone and joined back on the id, so wide rows (text) never
+    move for it."""
     if not balanced:
         return df.withColumn(out_col, (F.floor(hash_unit(id_col, seed) * k) + 1).cast("int"))
-    keyed = df.withColumn("_skey", split_key(id_col, seed)) \
-              .withColumn("_bucket", F.substring("_skey", 1, bucket_digits))
+    return df.join(split_ids(df.select(id_col), k, seed, id_col, bucket_digits, out_col), id_col)
+
+
+def split_ids(ids: DataFrame, k: int = 10, seed: int = 42, id_col: str = "id",
+              bucket_digits: int = 4, out_col: str = "split") -> DataFrame:
+    """(id, split) with split = rank of md5(seed-id) mod k + 1."""
+    keyed = ids.select(id_col, split_key(id_col, seed).alias("_skey")) \
+               .withColumn("_bucket", F.substring("_skey", 1, bucket_digits))
     # one row per non-empty bucket: at most 16**bucket_digits rows
     offsets = (keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_offset",
@@ -44,15 +53,14 @@ def assign_splits(df: DataFrame, k: int = 10, seed: int = 42, balanced: bool = T
                .select("_bucket", F.coalesce("_offset", F.lit(0)).alias("_offset")))
     w = Window.partitionBy("_bucket").orderBy("_skey")
     return (keyed.join(F.broadcast(offsets), "_bucket")
-            .withColumn(out_col, (((F.col("_offset") + F.row_number().over(w) - 1) % k) + 1)
-                        .cast("int"))
-            .drop("_skey", "_bucket", "_offset"))
+            .select(id_col, (((F.col("_offset") + F.row_number().over(w) - 1) % k) + 1)
+                    .cast("int").alias(out_col)))
 
 
 def split_table(df: DataFrame, **kw) -> DataFrame:
     """(id, split) for every article."""
     id_col = kw.get("id_col", "id")
-    return assign_splits(df.select(id_col), **kw)
+    return split_ids(df.select(id_col), **kw)
 
 
 @dataclass(frozen=True)

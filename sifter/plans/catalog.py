@@ -418,7 +418,7 @@ dterms AS (
 
 
 def doc_corpus(spark, sf_dir):
-    docs = tables.read_table(spark, sf_dir, "documents")
+    docs = tables.read_documents(spark, sf_dir, "doc_id", "text")
     return docs.select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
 
 
@@ -497,3 +497,305 @@ SELECT word, CASE WHEN reliable_docs = 0 THEN CAST('inf' AS DOUBLE)
 def q_fr_ratio(spark, sf_dir):
     """Fake-to-reliable article ratio per word."""
     return V.fr_ratio(train_wide(spark, sf_dir))
+
+
+# ------------------------------------------------- step 4: summary and profile
+from sifter.operators import evaluate as EV  # noqa: E402
+from sifter.operators import lexicon as LX  # noqa: E402
+from sifter.operators import profile as PR  # noqa: E402
+from sifter.operators import summary as SU  # noqa: E402
+
+
+def split_corpus(spark, sf_dir):
+    """De-duplicated, label-filtered articles with their balanced split."""
+    return splits.assign_splits(dedup.drop_duplicates(kept_corpus(spark, sf_dir)))
+
+
+TOKS_EXPR = C.tokens_sql(C.clean_sql("content"))
+
+SUMMARY_SQL = TRAIN_SQL + cut_sql(0.5, 0.05) + """,
+summary AS (
+  SELECT t.id, t.domain, t.orig_type, t.type, t.split, length(t.content) AS content_len,
+         CASE WHEN len(tk.toks) > 0 THEN list_avg(list_transform(tk.toks, lambda x: length(x))) END
+           AS mean_word_len,
+         CASE WHEN len(tk.toks) > 0
+              THEN list_aggregate(list_transform(tk.toks, lambda x: length(x)), 'median') END
+           AS median_word_len
+  FROM train t JOIN (SELECT id, """ + TOKS_EXPR + """ AS toks FROM train) tk ON t.id = tk.id
+),
+vterms AS (SELECT id, word, n FROM terms WHERE word IN (SELECT word FROM vocab))"""
+
+
+@register("article_summary", "WITH " + SUMMARY_SQL + """
+SELECT s.id, s.domain, s.orig_type, s.type, s.split, s.content_len,
+       round(s.mean_word_len, 6) AS mean_word_len, round(s.median_word_len, 6) AS median_word_len,
+       CAST(count(v.word) AS INTEGER) AS n_words, coalesce(sum(v.n), 0) AS n_tokens
+FROM summary s LEFT JOIN vterms v ON s.id = v.id
+GROUP BY ALL""")
+def q_article_summary(spark, sf_dir):
+    """Article summary (C2, F7-F10): vocabulary-filtered bag, text length,
+    mean and median token length; shown with bag sizes instead of the map."""
+    df = split_corpus(spark, sf_dir)
+    vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
+    s = SU.summarize(df, vocab, PLAN, stem=False)
+    return s.select("id", "domain", "orig_type", "type", "split", "content_len",
+                    F.round("mean_word_len", 6).alias("mean_word_len"),
+                    F.round("median_word_len", 6).alias("median_word_len"),
+                    F.size("words").alias("n_words"),
+                    F.aggregate(F.map_values("words"), F.lit(0).cast("long"),
+                                lambda a, x: a + x).alias("n_tokens"))
+
+
+@register("article_summary_stemmed")
+def q_article_summary_stemmed(spark, sf_dir):
+    """Article summary with stemmed words and the stemmed vocabulary
+    (C2 as the reference runs it), bag as MAP<STRING,INT>."""
+    df = split_corpus(spark, sf_dir)
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=True)
+    vocab = V.cut(V.to_wide(V.word_counts(long)), 0.5, 0.05)
+    return SU.summarize(df, vocab, PLAN, stem=True)
+
+
+EVAL_SQL = TRAIN_SQL + """,
+evalrows AS (SELECT id, orig_type, type, content, split FROM dsplit WHERE split IN (1, 2)),
+eterms AS (
+  SELECT id, word, CAST(count(*) AS INTEGER) AS n FROM (
+    SELECT id, unnest(""" + TOKS_EXPR + """) AS word FROM evalrows) GROUP BY id, word
+)"""
+
+
+@register("eval_set", "WITH " + EVAL_SQL + """
+SELECT e.id, e.orig_type, e.type, t.word, t.n
+FROM evalrows e JOIN eterms t ON e.id = t.id WHERE e.split = 2""")
+def q_eval_set(spark, sf_dir):
+    """Validation set (C3, F6): unfiltered bags of split 2, long form."""
+    df = split_corpus(spark, sf_dir)
+    ev = SU.prepare_eval(df, df.select("id", "split"), PLAN.val, stem=False)
+    return ev.select("id", "orig_type", "type", F.explode("words").alias("word", "n"))
+
+
+@register("statements_set", """
+WITH st AS (
+  SELECT d.doc_id AS id, d.text AS content,
+         CASE WHEN l.doc_id IS NULL THEN 'half-true' WHEN l.toxic = 1 THEN 'pants-fire'
+              WHEN l.quality = 0 THEN 'false' ELSE 'true' END AS orig_type
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+),
+kept AS (
+  SELECT id, orig_type, CASE WHEN orig_type IN ('true', 'mostly-true') THEN 'reliable' ELSE 'fake' END
+         AS type, content
+  FROM st WHERE orig_type IN ('true', 'mostly-true', 'false', 'pants-fire')
+)
+SELECT id, orig_type, type, CAST(count(t.word) AS INTEGER) AS n_words
+FROM kept LEFT JOIN (SELECT id AS tid, unnest(""" + TOKS_EXPR + """) AS word FROM kept) t
+  ON kept.id = t.tid
+GROUP BY ALL""")
+def q_statements_set(spark, sf_dir):
+    """Second corpus (C4, P4, S5 labels): keep true/mostly-true/false/
+    pants-fire, map to reliable/fake, bag each statement; shown with its
+    token count."""
+    ev = SU.prepare_statements(tables.statements(spark, sf_dir), stem=False)
+    return ev.select("id", "orig_type", "type",
+                     F.aggregate(F.map_values("words"), F.lit(0),
+                                 lambda a, x: a + x).alias("n_words"))
+
+
+@register("box_stats", "WITH " + SUMMARY_SQL + """
+, q AS (
+  SELECT orig_type, count(*) AS n, round(avg(content_len), 6) AS mean,
+         quantile_cont(content_len, 0.25) AS q1, quantile_cont(content_len, 0.5) AS median,
+         quantile_cont(content_len, 0.75) AS q3
+  FROM summary GROUP BY orig_type
+)
+SELECT q.orig_type, q.n, q.mean, round(q.q1, 6) AS q1, round(q.median, 6) AS median,
+       round(q.q3, 6) AS q3,
+       CAST(min(s.content_len) FILTER (WHERE s.content_len >= q.q1 - (q.q3 - q.q1)) AS DOUBLE)
+         AS whisker_low,
+       CAST(max(s.content_len) FILTER (WHERE s.content_len <= q.q3 + (q.q3 - q.q1)) AS DOUBLE)
+         AS whisker_high
+FROM q JOIN summary s ON q.orig_type = s.orig_type GROUP BY ALL""")
+def q_box_stats(spark, sf_dir):
+    """Box-plot summary of text length per source label."""
+    s = SU.summarize(split_corpus(spark, sf_dir), None, PLAN, stem=False)
+    b = PR.box_stats(s, "content_len", "orig_type", whis=1.0)
+    return b.select("orig_type", "n", F.round("mean", 6).alias("mean"),
+                    *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")],
+                    "whisker_low", "whisker_high")
+
+
+@register("box_stats_word_len", "WITH " + SUMMARY_SQL + """
+, q AS (
+  SELECT type, count(mean_word_len) AS n, avg(mean_word_len) AS mean,
+         quantile_cont(mean_word_len, 0.25) AS q1, quantile_cont(mean_word_len, 0.5) AS median,
+         quantile_cont(mean_word_len, 0.75) AS q3
+  FROM summary GROUP BY type
+)
+SELECT q.type, q.n, round(q.mean, 6) AS mean, round(q.q1, 6) AS q1, round(q.median, 6) AS median,
+       round(q.q3, 6) AS q3,
+       round(min(s.mean_word_len) FILTER (WHERE s.mean_word_len >= q.q1 - (q.q3 - q.q1)), 6)
+         AS whisker_low,
+       round(max(s.mean_word_len) FILTER (WHERE s.mean_word_len <= q.q3 + (q.q3 - q.q1)), 6)
+         AS whisker_high
+FROM q JOIN summary s ON q.type = s.type GROUP BY ALL""")
+def q_box_stats_word_len(spark, sf_dir):
+    """Box-plot summary of mean token length per label."""
+    s = SU.summarize(split_corpus(spark, sf_dir), None, PLAN, stem=False)
+    b = PR.box_stats(s, "mean_word_len", "type", whis=1.0)
+    return b.select("type", "n", *[F.round(c, 6).alias(c) for c in
+                                   ("mean", "q1", "median", "q3", "whisker_low", "whisker_high")])
+
+
+@register("label_balance", "WITH " + KEPT_SQL + """
+SELECT type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM kept GROUP BY type""")
+def q_label_balance(spark, sf_dir):
+    """Class totals and balance (A5)."""
+    b = PR.label_balance(kept_corpus(spark, sf_dir))
+    return b.withColumn("share", F.round("share", 6))
+
+
+CUTOFFS = (100, 200, 300, 350)
+
+
+@register("label_prefix_ratio", "WITH " + KEPT_SQL + """,
+pos AS (SELECT type, row_number() OVER (ORDER BY id) AS pos FROM kept),
+c AS (SELECT unnest([""" + ", ".join(map(str, CUTOFFS)) + """]) AS first_n)
+SELECT c.first_n, count(*) FILTER (WHERE p.type = 'fake') AS fakes,
+       count(*) FILTER (WHERE p.type = 'reliable') AS reals,
+       round(CASE WHEN count(*) FILTER (WHERE p.type = 'reliable') > 0 THEN
+         count(*) FILTER (WHERE p.type = 'fake') / count(*) FILTER (WHERE p.type = 'reliable') END, 6)
+         AS ratio
+FROM c LEFT JOIN pos p ON p.pos <= c.first_n GROUP BY c.first_n""")
+def q_label_prefix_ratio(spark, sf_dir):
+    """Fake/reliable ratio among the first N articles by id."""
+    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir), CUTOFFS)
+    return r.withColumn("ratio", F.round("ratio", 6))
+
+
+@register("null_counts", """
+SELECT count(*) FILTER (WHERE doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE text IS NULL) AS text,
+       count(*) FILTER (WHERE lang IS NULL) AS lang, count(*) FILTER (WHERE source IS NULL) AS source,
+       count(*) FILTER (WHERE n_chars IS NULL) AS n_chars
+FROM documents""")
+def q_null_counts(spark, sf_dir):
+    """Null count per column."""
+    return PR.null_counts(tables.read_table(spark, sf_dir, "documents"))
+
+
+@register("distinct_labels", "WITH " + CORPUS_SQL + " SELECT DISTINCT orig_type FROM corpus")
+def q_distinct_labels(spark, sf_dir):
+    """Distinct source labels."""
+    return tables.corpus(spark, sf_dir).select("orig_type").distinct()
+
+
+# ------------------------------------------------------ step 5: lexicon model
+LEX_SQL = EVAL_SQL + cut_sql(0.5, 0.05) + """,
+tot AS (SELECT sum(freq_total) AS t, sum(fake_total) AS tf, sum(reliable_total) AS tr FROM vocab),
+nart AS (SELECT count(*) AS n FROM train),
+scaled AS (SELECT v.word, v.freq_docs, v.fake_total * (tot.t / tot.tf) AS fs,
+                  v.reliable_total * (tot.t / tot.tr) AS rs FROM vocab v, tot),
+lex AS (
+  SELECT word, ln(nart.n / (freq_docs + 1.001)) AS idf_weight,
+         2.0 / (1.0 + exp(-least(greatest((rs - fs) / greatest(least(rs, fs), 1.0), -100.0), 100.0)))
+           - 1.0 AS fakeness_score
+  FROM scaled, nart
+),
+scores AS (
+  SELECT e.id, e.type, e.split,
+         coalesce(sum(t.n * l.idf_weight * l.fakeness_score) / (0.1 + sum(t.n * l.idf_weight)), 0.0)
+           AS score
+  FROM evalrows e LEFT JOIN eterms t ON e.id = t.id LEFT JOIN lex l ON t.word = l.word
+  GROUP BY e.id, e.type, e.split
+)"""
+
+
+def fitted_lexicon(spark, sf_dir):
+    train = train_corpus(spark, sf_dir)
+    vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
+    return LX.fit_lexicon(vocab, LX.n_articles(train))
+
+
+def lexicon_scored(spark, sf_dir):
+    df = split_corpus(spark, sf_dir)
+    rows = df.filter(F.col("split").isin(PLAN.test, PLAN.val)).select("id", "type", "split", "content")
+    long = FE.terms(rows, ("id",), stem=False)
+    return LX.score_lexicon(long, fitted_lexicon(spark, sf_dir), rows.drop("content"))
+
+
+@register("lexicon_model", "WITH " + LEX_SQL + """
+SELECT word, round(idf_weight, 6) AS idf_weight, round(fakeness_score, 6) AS fakeness_score FROM lex""")
+def q_lexicon_model(spark, sf_dir):
+    """Lexicon model (A6-A8, A10, A11): label scaling, idf weight and
+    fakeness score per vocabulary word."""
+    m = fitted_lexicon(spark, sf_dir)
+    return m.select("word", F.round("idf_weight", 6).alias("idf_weight"),
+                    F.round("fakeness_score", 6).alias("fakeness_score"))
+
+
+@register("tfidf_weights", "WITH " + TRAIN_SQL + """, nart AS (SELECT count(*) AS n FROM train)
+SELECT word, round(ln(nart.n / freq_docs) * (ln(freq_total) + 1), 6) AS tfidf FROM wide, nart""")
+def q_tfidf_weights(spark, sf_dir):
+    """Tf-idf weight per word."""
+    n = LX.n_articles(train_corpus(spark, sf_dir))
+    w = train_wide(spark, sf_dir).crossJoin(F.broadcast(n))
+    return w.select("word", F.round(LX.tfidf(F.col("freq_docs"), F.col("freq_total"),
+                                             F.col("n_articles")), 6).alias("tfidf"))
+
+
+@register("lexicon_scores", "WITH " + LEX_SQL + """
+SELECT id, type, split, round(score, 6) AS score FROM scores""")
+def q_lexicon_scores(spark, sf_dir):
+    """Lexicon scores of the validation and test articles."""
+    s = lexicon_scored(spark, sf_dir)
+    return s.select("id", "type", "split", F.round("score", 6).alias("score"))
+
+
+# ------------------------------------------------------------ step 6: evaluate
+EVAL_METRICS_SQL = """
+lab AS (SELECT *, CASE WHEN isnan(score) THEN NULL WHEN score < 0 THEN 'fake' ELSE 'reliable' END
+          AS pred FROM scores),
+conf AS (
+  SELECT CASE WHEN split = 1 THEN 'test' ELSE 'validation' END AS dataset,
+         count(*) FILTER (WHERE pred = 'fake' AND type = 'fake') AS tp,
+         count(*) FILTER (WHERE pred = 'fake' AND type <> 'fake') AS fp,
+         count(*) FILTER (WHERE coalesce(pred, '') <> 'fake' AND type = 'reliable') AS tn,
+         count(*) FILTER (WHERE coalesce(pred, '') <> 'fake' AND type <> 'reliable') AS fn
+  FROM lab GROUP BY 1
+),
+m AS (
+  SELECT *, CAST(tp + fp + tn + fn AS DOUBLE) AS n,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END AS recall,
+         CASE WHEN tn + fp > 0 THEN tn / (tn + fp) END AS tnr,
+         CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1f,
+         CASE WHEN 2 * tn + fn + fp > 0 THEN 2 * tn / (2 * tn + fn + fp) ELSE 0 END AS f1r
+  FROM conf
+)
+SELECT dataset, tp, fp, tn, fn, CAST(n AS BIGINT) AS n,
+       round((tp + tn) / n, 6) AS accuracy,
+       round((coalesce(recall, 0) + coalesce(tnr, 0))
+             / ((CASE WHEN tp + fn > 0 THEN 1 ELSE 0 END) + (CASE WHEN tn + fp > 0 THEN 1 ELSE 0 END)), 6)
+         AS balanced_accuracy,
+       round(((tp + fn) * f1f + (tn + fp) * f1r) / n, 6) AS f1_weighted,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tn + fn > 0 THEN tn / (tn + fn) END, 6) AS npv,
+       round(recall, 6) AS recall, round(tnr, 6) AS tnr,
+       round(tp / n, 6) AS m_tp, round(fp / n, 6) AS m_fp, round(fn / n, 6) AS m_fn,
+       round(tn / n, 6) AS m_tn
+FROM m"""
+
+
+def metric_columns(m: DataFrame, by) -> DataFrame:
+    dbl = ["accuracy", "balanced_accuracy", "f1_weighted", "precision", "npv", "recall", "tnr"]
+    mat = F.col("confusion_matrix")
+    return m.select(*by, "tp", "fp", "tn", "fn", "n", *[F.round(c, 6).alias(c) for c in dbl],
+                    F.round(mat[0][0], 6).alias("m_tp"), F.round(mat[0][1], 6).alias("m_fp"),
+                    F.round(mat[1][0], 6).alias("m_fn"), F.round(mat[1][1], 6).alias("m_tn"))
+
+
+@register("evaluate", "WITH " + LEX_SQL + "," + EVAL_METRICS_SQL)
+def q_evaluate(spark, sf_dir):
+    """Lexicon model evaluated on validation and test in one pass (F13,
+    A13-A15, M14)."""
+    s = lexicon_scored(spark, sf_dir).withColumn(
+        "dataset", F.when(F.col("split") == PLAN.test, "test").otherwise("validation"))
+    return metric_columns(EV.evaluate(s, "score", "type", ["dataset"]), ["dataset"])

@@ -20,6 +20,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """The documents table, hash-distributed by ``doc_id``.
+
+    Text work is per article, so the corpus is distributed by its key
+    once, right after the scan (column-pruned first).  Every later
+    per-article aggregate and every join on the id (labels, split ids,
+    duplicate lists) finds its required distribution already in place and
+    adds no exchange; a scan of few large row groups no longer pins the
+    text work to few tasks.  Storage bucketed by id makes this shuffle
+    free as well.
+    """
+    df = read_table(spark, sf_dir, "documents")
+    if cols:
+        df = df.select(*cols)
+    return df.repartition("doc_id")
+
+
 def orig_type_from_labels(has_label: Column, quality: Column, toxic: Column) -> Column:
     """Source label of an article from the driver's label flags.
 
@@ -38,7 +55,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     A left join on the unique key ``doc_id``; Spark plans it as a
     sort-merge or (runtime-sized, via AQE) broadcast join.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = read_documents(spark, sf_dir, "doc_id", "source", "text")
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
     return (docs.join(labels, "doc_id", "left")
@@ -47,3 +64,20 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                     orig_type_from_labels(F.col("_has_label"), F.col("quality"), F.col("toxic")).alias("orig_type"),
                     F.col("text").alias("content"),
                     F.lit(None).cast("string").alias("scraped_at")))
+
+
+def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in for the second corpus (short labelled statements): rows
+    of ``documents`` with a six-valued truth label derived from the label
+    flags.  Unlabelled rows get ``half-true``, which the statement label
+    map drops."""
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
+    label = (F.when(F.col("_has_label").isNull(), F.lit("half-true"))
+             .when(F.col("toxic") == 1, F.lit("pants-fire"))
+             .when(F.col("quality") == 0, F.lit("false"))
+             .otherwise(F.lit("true")))
+    return (docs.join(labels, "doc_id", "left")
+            .select(F.col("doc_id").alias("id"), label.alias("orig_type"),
+                    F.col("text").alias("content")))
