@@ -799,3 +799,57 @@ def q_evaluate(spark, sf_dir):
     s = lexicon_scored(spark, sf_dir).withColumn(
         "dataset", F.when(F.col("split") == PLAN.test, "test").otherwise("validation"))
     return metric_columns(EV.evaluate(s, "score", "type", ["dataset"]), ["dataset"])
+
+
+# ------------------------------------------------------ step 7-8: classifiers
+from sifter.operators import stacking as STK  # noqa: E402
+from sifter.plans import modeling as MD  # noqa: E402
+
+# small enough for the sf0.01 check; the jobs take the reference's sizes
+QUERY_PARAMS = {"random_forest": {"n_trees": 20, "max_depth": 10},
+                "linear": {"max_iter": 100}, "svm": {"max_iter": 100},
+                "pa": {"epochs": 5}}
+
+
+def _inputs(spark, sf_dir):
+    return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=True)
+
+
+def _base_query(name):
+    def q(spark, sf_dir):
+        mi = _inputs(spark, sf_dir)
+        target = mi.bags.filter(F.col("trn_split") == 2)
+        return MD.base_scores(mi, name, target, QUERY_PARAMS.get(name)).select(
+            "id", "type", F.round("score", 6).alias("score"))
+    return q
+
+
+for _name, _ops in (("logreg", "M1 M3 M9 M10"), ("svm", "M1 M7 M9"),
+                    ("nb_multinomial", "M1 M5 M9"), ("nb_complement", "M1 M6 M9"),
+                    ("random_forest", "M1 M8 M9"), ("passive_aggressive", "M4 M9")):
+    _model = {"logreg": "linear", "nb_multinomial": "multi_nb", "nb_complement": "compl_nb",
+              "passive_aggressive": "pa"}.get(_name, _name)
+    _fn = _base_query(_model)
+    _fn.__doc__ = (f"Model '{_model}' fitted on training set 1, scoring training set 2 "
+                   f"({_ops}): P(reliable) - P(fake) in [-1, 1].")
+    register(_name)(_fn)
+
+
+@register("stacked_scores")
+def q_stacked_scores(spark, sf_dir):
+    """Out-of-sample scores of all six base models on training set 2,
+    one column per model (M10, J5)."""
+    mi = _inputs(spark, sf_dir)
+    return MD.stacked(mi, params=QUERY_PARAMS)
+
+
+@register("meta_predictions")
+def q_meta_predictions(spark, sf_dir):
+    """Meta model (M12) fitted on set 2's scores, predicting the
+    validation split (+1 reliable, -1 fake)."""
+    mi = _inputs(spark, sf_dir)
+    wide2 = MD.stacked(mi, params=QUERY_PARAMS)
+    asm, meta = STK.fit_meta(wide2, n_trees=20, max_depth=10)
+    val = MD.eval_bags(mi, PLAN.val)
+    wide_val = MD.stacked(mi, params=QUERY_PARAMS, target=val)
+    return STK.score_meta(asm, meta, wide_val).select("id", "type", "preds_meta")
