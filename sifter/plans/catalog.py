@@ -853,3 +853,38 @@ def q_meta_predictions(spark, sf_dir):
     val = MD.eval_bags(mi, PLAN.val)
     wide_val = MD.stacked(mi, params=QUERY_PARAMS, target=val)
     return STK.score_meta(asm, meta, wide_val).select("id", "type", "preds_meta")
+
+
+# ------------------------------------------------------- step 9: file formats
+import uuid  # noqa: E402
+
+from sifter.sources import files as FI  # noqa: E402
+from sifter.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_roundtrip", "WITH " + KEPT_SQL + """
+SELECT id, domain, orig_type, type, md5(content) AS content_md5 FROM kept""")
+def q_csv_roundtrip(spark, sf_dir):
+    """Corpus CSV scan (S1, S3, S9): the corpus written in the raw
+    17-column CSV layout (quoted, multi-line) and read back with an
+    explicit schema and a corrupt-record column, then reduced (C1)."""
+    c = tables.corpus(spark, sf_dir).withColumnRenamed("orig_type", "type")
+    path = scratch_path(spark, "corpus-csv")
+    FI.write_corpus_csv(c, path)
+    rows, _rejects = FI.read_corpus_csv(spark, path)
+    kept, _ = labels.reduce_corpus(rows)
+    return kept.select("id", "domain", "orig_type", "type", F.md5("content").alias("content_md5"))
+
+
+@register("literal_map_roundtrip", "WITH " + DOC_TERMS_SQL + " SELECT id, word, n FROM dterms")
+def q_literal_map_roundtrip(spark, sf_dir):
+    """Bags stored as dict text and parsed back."""
+    bags = FE.bag_map(FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False))
+    text = bags.select("id", FI.format_literal_map("words").alias("words_text"))
+    parsed = text.select("id", FI.parse_literal_map("words_text").alias("words"))
+    return parsed.select("id", F.explode("words").alias("word", "n"))
