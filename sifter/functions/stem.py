@@ -203,6 +203,15 @@ def with_stem(df: DataFrame, token_col: str, out_col: str = "stem") -> DataFrame
     return d.withColumnRenamed(w, out_col)
 
 
-def stem_table(tokens: DataFrame, token_col: str = "token") -> DataFrame:
-    """(token, stem) for the distinct tokens of a token table."""
-    return with_stem(tokens.select(token_col).distinct(), token_col, "stem")
+def stem_table(tokens: DataFrame, token_col: str = "token",
+               partitions: int | None = None) -> DataFrame:
+    """(token, stem) for the distinct tokens of a token table.
+
+    The distinct-token table is small in bytes but costly per row, so it
+    is spread over a fixed number of tasks (default: the cluster's
+    parallelism) before stemming; by bytes alone AQE would pack it into
+    one or two partitions.
+    """
+    n = partitions or tokens.sparkSession.sparkContext.defaultParallelism
+    distinct = tokens.select(token_col).distinct().repartition(n)
+    return with_stem(distinct, token_col, "stem")

@@ -50,9 +50,16 @@ def duplicate_ids(df: DataFrame, keys: Sequence[str] | None = None, id_col: str
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None, id_col: str = "id",
-                    text_col: str = "content", n: int = PREFIX_CHARS) -> DataFrame:
-    """Keep the first article of each group (semi join on id)."""
-    return df.join(first_ids(df, keys, id_col, text_col, n), id_col, "left_semi")
+                    text_col: str = "content", n: int = PREFIX_CHARS,
+                    source: DataFrame | None = None) -> DataFrame:
+    """Keep the first article of each group (semi join on id).
+
+    ``source``: the same rows read narrowly (not redistributed); the
+    digests are computed there, so only ids travel to the semi join and
+    ``df`` keeps its distribution by id.
+    """
+    firsts = first_ids(df if source is None else source, keys, id_col, text_col, n)
+    return df.join(firsts, id_col, "left_semi")
 
 
 def remove_ids(df: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:

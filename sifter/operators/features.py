@@ -64,10 +64,17 @@ def bag_map(long: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def with_bags(df: DataFrame, id_col: str = "id", text_col: str = "content",
-              stem: bool = True, vocab: DataFrame | None = None) -> DataFrame:
+              stem: bool = True, vocab: DataFrame | None = None,
+              long: DataFrame | None = None) -> DataFrame:
     """Add ``words`` to every article; articles without tokens get an
-    empty map (left join on the unique id)."""
-    bags = bag_map(terms(df, (id_col,), text_col, stem, vocab), id_col)
+    empty map (left join on the unique id).  ``long``: an already
+    computed long bag of these articles (then only the vocabulary filter
+    is applied to it)."""
+    if long is None:
+        long = terms(df, (id_col,), text_col, stem, vocab)
+    elif vocab is not None:
+        long = long.join(vocab.select("word"), "word", "left_semi")
+    bags = bag_map(long.select(id_col, "word", "n"), id_col)
     empty = F.create_map().cast("map<string,int>")
     return (df.join(bags, id_col, "left")
             .withColumn("words", F.coalesce(F.col("words"), empty)))

@@ -31,13 +31,15 @@ def hash_unit(id_col: str = "id", seed: int = 42) -> Column:
 
 def assign_splits(df: DataFrame, k: int = 10, seed: int = 42, balanced: bool = True,
                   id_col: str = "id", bucket_digits: int = 4,
-                  out_col: str = "split") -> DataFrame:
+                  out_col: str = "split", ids: DataFrame | None = None) -> DataFrame:
     """Add ``out_col`` (1..k).  The balanced rank is computed on the id
-    column alone and joined back on the id, so wide rows (text) never
-    move for it."""
+    column alone (``ids``: the same rows' ids from a narrow read, if
+    given) and joined back on the id, so wide rows (text) never move
+    for it."""
     if not balanced:
         return df.withColumn(out_col, (F.floor(hash_unit(id_col, seed) * k) + 1).cast("int"))
-    return df.join(split_ids(df.select(id_col), k, seed, id_col, bucket_digits, out_col), id_col)
+    src = df.select(id_col) if ids is None else ids.select(id_col)
+    return df.join(split_ids(src, k, seed, id_col, bucket_digits, out_col), id_col)
 
 
 def split_ids(ids: DataFrame, k: int = 10, seed: int = 42, id_col: str = "id",

@@ -70,8 +70,19 @@ split_ids AS (
 )"""
 
 
-def kept_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.label_filter_group(tables.corpus(spark, sf_dir))
+def kept_corpus(spark: SparkSession, sf_dir: str, distribute: bool = True) -> DataFrame:
+    return labels.label_filter_group(tables.corpus(spark, sf_dir, distribute))
+
+
+def deduped_split_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept, de-duplicated articles with their balanced split.  The text
+    is distributed by id once; duplicate digests and split ranks come
+    from a narrow read and reach the text only as id lists."""
+    wide = kept_corpus(spark, sf_dir)
+    narrow = kept_corpus(spark, sf_dir, distribute=False)
+    firsts = dedup.first_ids(narrow)
+    deduped = wide.join(firsts, "id", "left_semi")
+    return splits.assign_splits(deduped, ids=firsts)
 
 
 def corpus_with_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +94,7 @@ def corpus_with_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, domain, orig_type, type FROM kept""")
 def q_label_filter_group(spark, sf_dir):
     """Label filter (P1) and grouping (P2) over the whole corpus."""
-    return kept_corpus(spark, sf_dir).select("id", "domain", "orig_type", "type")
+    return kept_corpus(spark, sf_dir, distribute=False).select("id", "domain", "orig_type", "type")
 
 
 @register("row_accounting", "WITH " + CORPUS_SQL + "," + SPLITS_SQL + """,
@@ -105,7 +116,7 @@ def q_row_accounting(spark, sf_dir):
     """Row accounting (S4) with the split guard (P6): test and validation
     rows are 'ignored'."""
     plan = splits.SplitPlan()
-    df = splits.assign_splits(labels.apply_labels(tables.corpus(spark, sf_dir)))
+    df = splits.assign_splits(labels.apply_labels(tables.corpus(spark, sf_dir, distribute=False)))
     status = (F.when((F.col("status") == labels.INCLUDED)
                      & F.col("split").isin(plan.test, plan.val), F.lit(labels.IGNORED))
               .otherwise(F.col("status")))
@@ -119,7 +130,7 @@ SELECT id FROM (
 def q_duplicate_ids(spark, sf_dir):
     """Ids of all but the first article with the same 500-character
     prefix (P5, W1), among label-filtered articles (W2)."""
-    return dedup.duplicate_ids(kept_corpus(spark, sf_dir))
+    return dedup.duplicate_ids(kept_corpus(spark, sf_dir, distribute=False))
 
 
 @register("duplicate_ids_multi", "WITH " + KEPT_SQL + """
@@ -128,7 +139,7 @@ SELECT id FROM (
   FROM kept) WHERE rn > 1""")
 def q_duplicate_ids_multi(spark, sf_dir):
     """Duplicates on several columns (W1b): same domain and text length."""
-    df = kept_corpus(spark, sf_dir).withColumn("content_len", F.length("content"))
+    df = kept_corpus(spark, sf_dir, distribute=False).withColumn("content_len", F.length("content"))
     return dedup.duplicate_ids(df, keys=["domain", "content_len"])
 
 
@@ -138,7 +149,7 @@ SELECT id, orig_type, type FROM (
   FROM kept) WHERE rn = 1""")
 def q_dedup_keep_first(spark, sf_dir):
     """Reduce + dedup in one pass (C1, W2, J1): first of each prefix."""
-    return dedup.drop_duplicates(kept_corpus(spark, sf_dir)).select("id", "orig_type", "type")
+    return dedup.drop_duplicates(kept_corpus(spark, sf_dir, distribute=False)).select("id", "orig_type", "type")
 
 
 @register("dups_distribution", "WITH " + FLAGGED_SQL + """
@@ -150,7 +161,7 @@ FROM flagged GROUP BY ROLLUP (orig_type)""")
 def q_dups_distribution(spark, sf_dir):
     """Duplicate distribution by source label (A18, J2), overall row by
     rollup."""
-    return dedup.duplicate_distribution(dedup.flag_duplicates(kept_corpus(spark, sf_dir)))
+    return dedup.duplicate_distribution(dedup.flag_duplicates(kept_corpus(spark, sf_dir, distribute=False)))
 
 
 # ------------------------------------------------------------- step 1: splits
@@ -292,8 +303,7 @@ vocab AS (
 def train_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label-filtered, de-duplicated articles with a balanced split,
     training splits only (the word table's input)."""
-    deduped = dedup.drop_duplicates(kept_corpus(spark, sf_dir))
-    return splits.train_rows(splits.assign_splits(deduped), PLAN)
+    return splits.train_rows(deduped_split_corpus(spark, sf_dir), PLAN)
 
 
 def train_wide(spark, sf_dir, stem=False):
@@ -508,7 +518,7 @@ from sifter.operators import summary as SU  # noqa: E402
 
 def split_corpus(spark, sf_dir):
     """De-duplicated, label-filtered articles with their balanced split."""
-    return splits.assign_splits(dedup.drop_duplicates(kept_corpus(spark, sf_dir)))
+    return deduped_split_corpus(spark, sf_dir)
 
 
 TOKS_EXPR = C.tokens_sql(C.clean_sql("content"))
@@ -551,9 +561,9 @@ def q_article_summary_stemmed(spark, sf_dir):
     """Article summary with stemmed words and the stemmed vocabulary
     (C2 as the reference runs it), bag as MAP<STRING,INT>."""
     df = split_corpus(spark, sf_dir)
-    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=True)
+    long = FE.terms(splits.train_rows(df, PLAN), ("type", "id"), stem=True)
     vocab = V.cut(V.to_wide(V.word_counts(long)), 0.5, 0.05)
-    return SU.summarize(df, vocab, PLAN, stem=True)
+    return SU.summarize(df, vocab, PLAN, stem=True, long=long)
 
 
 EVAL_SQL = TRAIN_SQL + """,
@@ -650,7 +660,7 @@ SELECT type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM kept GROUP BY type""")
 def q_label_balance(spark, sf_dir):
     """Class totals and balance (A5)."""
-    b = PR.label_balance(kept_corpus(spark, sf_dir))
+    b = PR.label_balance(kept_corpus(spark, sf_dir, distribute=False))
     return b.withColumn("share", F.round("share", 6))
 
 
@@ -668,7 +678,7 @@ SELECT c.first_n, count(*) FILTER (WHERE p.type = 'fake') AS fakes,
 FROM c LEFT JOIN pos p ON p.pos <= c.first_n GROUP BY c.first_n""")
 def q_label_prefix_ratio(spark, sf_dir):
     """Fake/reliable ratio among the first N articles by id."""
-    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir), CUTOFFS)
+    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir, distribute=False), CUTOFFS)
     return r.withColumn("ratio", F.round("ratio", 6))
 
 
@@ -812,7 +822,8 @@ QUERY_PARAMS = {"random_forest": {"n_trees": 20, "max_depth": 10},
 
 
 def _inputs(spark, sf_dir):
-    return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=True)
+    return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=True,
+                           narrow=tables.corpus(spark, sf_dir, distribute=False))
 
 
 def _base_query(name):

@@ -31,14 +31,19 @@ class ModelInputs:
 
 
 def model_inputs(corpus: DataFrame, plan: splits.SplitPlan, stem: bool = True,
-                 head: float = 0.5, tail: float = 0.05) -> ModelInputs:
+                 head: float = 0.5, tail: float = 0.05,
+                 narrow: DataFrame | None = None) -> ModelInputs:
+    """``corpus``: articles distributed by id; ``narrow``: the same rows
+    read without redistribution (for digests and split ranks)."""
     kept = labels.label_filter_group(corpus)
-    df = splits.assign_splits(dedup.drop_duplicates(kept)).select(
+    side = kept if narrow is None else labels.label_filter_group(narrow)
+    firsts = dedup.first_ids(side)
+    df = splits.assign_splits(kept.join(firsts, "id", "left_semi"), ids=firsts).select(
         "id", "type", "orig_type", "split", "content")
     train = splits.train_rows(df, plan)
     long = FE.terms(train, ("type", "id"), stem=stem)
     vocab = V.cut(V.to_wide(V.word_counts(long)), head, tail)
-    bags = FE.with_bags(train, "id", "content", stem=stem, vocab=vocab).drop("content")
+    bags = FE.with_bags(train, "id", "content", stem=stem, vocab=vocab, long=long).drop("content")
     # the training table is read by every model fit and scorer: write it
     # once (reliable checkpoint) instead of re-deriving it from the text
     return ModelInputs(checkpoint(bags), vocab, df, stem)

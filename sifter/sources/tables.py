@@ -20,7 +20,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+def read_documents(spark: SparkSession, sf_dir: str, *cols: str,
+                   distribute: bool = True) -> DataFrame:
     """The documents table, hash-distributed by ``doc_id``.
 
     Text work is per article, so the corpus is distributed by its key
@@ -34,7 +35,7 @@ def read_documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     df = read_table(spark, sf_dir, "documents")
     if cols:
         df = df.select(*cols)
-    return df.repartition("doc_id")
+    return df.repartition("doc_id") if distribute else df
 
 
 def orig_type_from_labels(has_label: Column, quality: Column, toxic: Column) -> Column:
@@ -49,13 +50,15 @@ def orig_type_from_labels(has_label: Column, quality: Column, toxic: Column) ->
             .otherwise(F.lit("reliable")))
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, distribute: bool = True) -> DataFrame:
     """Articles as (id, domain, orig_type, content, scraped_at).
 
     A left join on the unique key ``doc_id``; Spark plans it as a
     sort-merge or (runtime-sized, via AQE) broadcast join.
+    ``distribute=False`` gives the undistributed scan, for side tables
+    (duplicate digests, split ids) that never move the text.
     """
-    docs = read_documents(spark, sf_dir, "doc_id", "source", "text")
+    docs = read_documents(spark, sf_dir, "doc_id", "source", "text", distribute=distribute)
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
     return (docs.join(labels, "doc_id", "left")
