@@ -899,3 +899,27 @@ def q_literal_map_roundtrip(spark, sf_dir):
     text = bags.select("id", FI.format_literal_map("words").alias("words_text"))
     parsed = text.select("id", FI.parse_literal_map("words_text").alias("words"))
     return parsed.select("id", F.explode("words").alias("word", "n"))
+
+
+# ------------------------------------------------------------------ streaming
+from sifter.streaming import scoring as SS  # noqa: E402
+
+
+@register("stream_lexicon_scores", "WITH " + LEX_SQL + """
+SELECT id, type, split, round(score, 6) AS score FROM scores""")
+def q_stream_lexicon_scores(spark, sf_dir):
+    """Lexicon scoring of the validation and test articles as a
+    Structured Streaming job: the documents table read as a file stream,
+    joined to the (static) evaluation ids, scored per micro-batch with
+    ``foreachBatch`` into a Parquet sink, run to completion."""
+    lex = fitted_lexicon(spark, sf_dir)
+    ev = split_corpus(spark, sf_dir).filter(F.col("split").isin(PLAN.test, PLAN.val)) \
+        .select("id", "type", "split")
+    schema = tables.read_table(spark, sf_dir, "documents").schema
+    docs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    stream = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("content")).join(ev, "id")
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = SS.start_scoring(stream, lex, sink, ckpt, once=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("id", "type", "split", F.round("score", 6).alias("score"))
