@@ -923,3 +923,48 @@ def q_stream_lexicon_scores(spark, sf_dir):
     q = SS.start_scoring(stream, lex, sink, ckpt, once=True)
     q.awaitTermination()
     return spark.read.parquet(sink).select("id", "type", "split", F.round("score", 6).alias("score"))
+
+
+NB_SQL = "WITH " + TRAIN_SQL + cut_sql(0.5, 0.05) + """,
+tbags AS (SELECT id, word, n FROM terms WHERE word IN (SELECT word FROM vocab)),
+t1 AS (SELECT id, type FROM train WHERE split IN (3, 4, 5, 6, 7)),
+t2 AS (SELECT id, type FROM train WHERE split IN (8, 9, 10)),
+feat AS (SELECT DISTINCT b.word FROM tbags b JOIN t1 ON b.id = t1.id),
+nf AS (SELECT count(*) AS v FROM feat),
+classes AS (SELECT 'fake' AS type UNION ALL SELECT 'reliable'),
+docs AS (SELECT c.type, count(t1.id) AS n_c FROM classes c LEFT JOIN t1 ON t1.type = c.type GROUP BY c.type),
+ndocs AS (SELECT count(*) AS n FROM t1),
+ncj AS (SELECT t1.type, b.word, sum(b.n) AS n FROM tbags b JOIN t1 ON b.id = t1.id GROUP BY t1.type, b.word),
+tot AS (SELECT c.type, coalesce(sum(ncj.n), 0) AS total FROM classes c LEFT JOIN ncj ON ncj.type = c.type
+        GROUP BY c.type),
+theta AS (
+  SELECT c.type, f.word, ln(coalesce(ncj.n, 0) + 1.0) - ln(tot.total + nf.v * 1.0) AS th
+  FROM classes c CROSS JOIN feat f JOIN tot ON tot.type = c.type CROSS JOIN nf
+  LEFT JOIN ncj ON ncj.type = c.type AND ncj.word = f.word
+),
+prior AS (SELECT d.type, ln(d.n_c + 1.0) - ln(nd.n + 2.0) AS pr FROM docs d, ndocs nd),
+raw AS (
+  SELECT t2.id, t2.type AS label, c.type AS cls,
+         (SELECT pr FROM prior p WHERE p.type = c.type)
+           + coalesce(sum(b.n * th.th), 0) AS r
+  FROM t2 CROSS JOIN classes c
+  LEFT JOIN tbags b ON b.id = t2.id
+  LEFT JOIN theta th ON th.type = c.type AND th.word = b.word
+  GROUP BY t2.id, t2.type, c.type
+)
+SELECT id, label AS type,
+       round(tanh((max(r) FILTER (WHERE cls = 'reliable') - max(r) FILTER (WHERE cls = 'fake')) / 2), 6)
+         AS score
+FROM raw GROUP BY id, label"""
+
+
+@register("nb_multinomial_exact", NB_SQL)
+def q_nb_multinomial_exact(spark, sf_dir):
+    """Multinomial naive Bayes (M1, M5, M9) on unstemmed bags, fitted on
+    training set 1 and scoring set 2; P(reliable) - P(fake) from Spark's
+    smoothed prior and class-conditional word probabilities."""
+    mi = MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=False,
+                         narrow=tables.corpus(spark, sf_dir, distribute=False))
+    target = mi.bags.filter(F.col("trn_split") == 2)
+    return MD.base_scores(mi, "multi_nb", target).select(
+        "id", "type", F.round("score", 6).alias("score"))
