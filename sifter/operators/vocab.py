@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sifter.session import checkpoint
+
 LABEL_VALUES = ("fake", "reliable")
 
 
@@ -82,27 +84,29 @@ def cut_bounds(wide: DataFrame, head_mass: float, tail_mass: float,
     least total if none.  No upper: nothing is kept.
     """
     hist = wide.groupBy(F.col(total_col).alias("f")).agg(F.count(F.lit(1)).alias("nw"))
-    w = Window.orderBy(F.desc("f")).rowsBetween(Window.unboundedPreceding, 0)
-    h = (hist.withColumn("c", F.sum(F.col("f") * F.col("nw")).over(w))
-         .withColumn("T", F.sum(F.col("f") * F.col("nw")).over(Window.partitionBy()))
-         .withColumn("W", F.sum("nw").over(Window.partitionBy())))
+    run = Window.orderBy(F.desc("f")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy()
+    h = (hist.withColumn("c", F.sum(F.col("f") * F.col("nw")).over(run))
+         .withColumn("T", F.sum(F.col("f") * F.col("nw")).over(whole)))
     head_ok = (F.col("c") - F.col("f")) >= F.lit(float(head_mass)) * F.col("T")
     tail_ok = (F.col("c") - F.col("f")) >= F.lit(float(1 - tail_mass)) * F.col("T")
-    up = h.agg(F.max(F.when(head_ok, F.col("f"))).alias("upper"),
-               F.min("f").alias("least"), F.first("T").alias("total_words"),
-               F.first("W").alias("n_words"))
-    lo = (h.crossJoin(up.select("upper"))
-          .agg(F.max(F.when(tail_ok & (F.col("f") < F.col("upper")), F.col("f"))).alias("lower_f")))
-    return (up.crossJoin(lo)
+    # one pass over the histogram: upper as a window value, then one aggregate
+    h = h.withColumn("upper", F.max(F.when(head_ok, F.col("f"))).over(whole))
+    return (h.agg(F.first("upper").alias("upper"),
+                  F.max(F.when(tail_ok & (F.col("f") < F.col("upper")), F.col("f"))).alias("_lo"),
+                  F.min("f").alias("_least"), F.sum("nw").alias("n_words"),
+                  F.first("T").alias("total_words"))
             .select("upper", F.when(F.col("upper").isNotNull(),
-                                    F.coalesce("lower_f", "least")).alias("lower"),
+                                    F.coalesce("_lo", "_least")).alias("lower"),
                     "n_words", "total_words"))
 
 
 def cut(wide: DataFrame, head_mass: float = 0.5, tail_mass: float = 0.05,
         total_col: str = "freq_total") -> DataFrame:
     """Words kept after cutting the head and the tail by mass.  The
-    bounds are a one-row table, broadcast by construction."""
+    bounds are a one-row table, broadcast by construction.  ``wide`` is
+    read twice (histogram and filter): pass a materialised word table
+    (``materialize``) when it is expensive to derive."""
     b = cut_bounds(wide, head_mass, tail_mass, total_col)
     t = F.col(total_col)
     return (wide.crossJoin(F.broadcast(b.select("upper", "lower")))
@@ -126,6 +130,13 @@ def cut_stats(wide: DataFrame, head_mass: float = 0.5, tail_mass: float = 0.05,
                  F.first("lower").alias("min_level"))
 
 
+def materialize(wide: DataFrame) -> DataFrame:
+    """Write the word table once (reliable checkpoint): it is as large
+    as the vocabulary, and the cut, its statistics and the lexicon all
+    read it more than once."""
+    return checkpoint(wide)
+
+
 def top_words(long: DataFrame, n: int = 30) -> DataFrame:
     """Most frequent words over all bags (total count, word as tie-break)."""
     return (long.groupBy("word").agg(F.sum("n").alias("total"))

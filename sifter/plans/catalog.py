@@ -308,7 +308,15 @@ def train_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_wide(spark, sf_dir, stem=False):
     long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=stem)
-    return V.to_wide(V.word_counts(long))
+    return V.materialize(V.to_wide(V.word_counts(long)))
+
+
+def train_count(spark, sf_dir):
+    """Number of training articles, from ids only (no text)."""
+    narrow = kept_corpus(spark, sf_dir, distribute=False)
+    firsts = dedup.first_ids(narrow)
+    ids = splits.train_rows(splits.split_ids(firsts), PLAN)
+    return LX.n_articles(ids)
 
 
 @register("clean_text", "SELECT doc_id AS id, " + C.clean_sql("text") + " AS clean FROM documents")
@@ -720,9 +728,8 @@ scores AS (
 
 
 def fitted_lexicon(spark, sf_dir):
-    train = train_corpus(spark, sf_dir)
     vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
-    return LX.fit_lexicon(vocab, LX.n_articles(train))
+    return LX.fit_lexicon(vocab, train_count(spark, sf_dir))
 
 
 def lexicon_scored(spark, sf_dir):
@@ -746,7 +753,7 @@ def q_lexicon_model(spark, sf_dir):
 SELECT word, round(ln(nart.n / freq_docs) * (ln(freq_total) + 1), 6) AS tfidf FROM wide, nart""")
 def q_tfidf_weights(spark, sf_dir):
     """Tf-idf weight per word."""
-    n = LX.n_articles(train_corpus(spark, sf_dir))
+    n = train_count(spark, sf_dir)
     w = train_wide(spark, sf_dir).crossJoin(F.broadcast(n))
     return w.select("word", F.round(LX.tfidf(F.col("freq_docs"), F.col("freq_total"),
                                              F.col("n_articles")), 6).alias("tfidf"))

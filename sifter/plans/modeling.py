@@ -42,7 +42,7 @@ def model_inputs(corpus: DataFrame, plan: splits.SplitPlan, stem: bool = True,
         "id", "type", "orig_type", "split", "content")
     train = splits.train_rows(df, plan)
     long = FE.terms(train, ("type", "id"), stem=stem)
-    vocab = V.cut(V.to_wide(V.word_counts(long)), head, tail)
+    vocab = V.cut(V.materialize(V.to_wide(V.word_counts(long))), head, tail)
     bags = FE.with_bags(train, "id", "content", stem=stem, vocab=vocab, long=long).drop("content")
     # the training table is read by every model fit and scorer: write it
     # once (reliable checkpoint) instead of re-deriving it from the text
