@@ -975,3 +975,10 @@ def q_nb_multinomial_exact(spark, sf_dir):
     target = mi.bags.filter(F.col("trn_split") == 2)
     return MD.base_scores(mi, "multi_nb", target).select(
         "id", "type", F.round("score", 6).alias("score"))
+
+
+@register("row_cap", "WITH " + CORPUS_SQL + " SELECT id, orig_type FROM corpus ORDER BY id LIMIT 100")
+def q_row_cap(spark, sf_dir):
+    """Row cap (S2): the first 100 articles in id order -- the cap is the
+    feature here."""
+    return FI.row_cap(tables.corpus(spark, sf_dir, distribute=False), 100).select("id", "orig_type")

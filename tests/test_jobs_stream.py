@@ -14,9 +14,10 @@ def test_run_pipeline(spark, tmp_path):
                 "svm": {"max_iter": 20}, "pa": {"epochs": 2}},
         meta_trees=5, meta_depth=4)
     metrics = jobs.run_pipeline(spark, tables.corpus(spark, SF), cfg,
-                                narrow=tables.corpus(spark, SF, distribute=False))
+                                narrow=tables.corpus(spark, SF, distribute=False),
+                                statements=tables.statements(spark, SF))
     got = {(r.dataset, r.model) for r in metrics.collect()}
-    for ds in ("validation", "test"):
+    for ds in ("validation", "test", "statements"):
         for m in (*cfg.models, "simple", "meta"):
             assert (ds, m) in got
     assert spark.read.parquet(f"{cfg.out}/duplicates").count() >= 0

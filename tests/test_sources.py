@@ -70,3 +70,28 @@ def test_predictions_partition_overwrite(spark, tmp_path):
     FI.write_predictions(b, path)
     got = {r.model: r.score for r in spark.read.parquet(path).collect()}
     assert got == {"svm": -0.5, "linear": 0.1}
+
+
+def test_model_persistence(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sifter.operators import classifiers as CL
+    from sifter.operators import persistence as P
+    df = spark.createDataFrame([(i, "fake" if i % 2 else "reliable", {"a" if i % 2 else "b": 1})
+                                for i in range(20)], "id long, type string, words map<string,int>")
+    cv = CL.fit_vectorizer(df)
+    model = CL.fit_model("multi_nb", CL.with_label(CL.vectorize(df, cv)))
+    path = str(tmp_path / "m")
+    P.save_vector_model(cv, model, path)
+    P.save_metadata(spark, path, 2, {"alpha": 1.0})
+    cv2, model2 = P.load_vector_model(path)
+    a = CL.score(model, CL.vectorize(df, cv), "multi_nb").select("id", "score")
+    b = CL.score(model2, CL.vectorize(df, cv2), "multi_nb").select("id", F.col("score").alias("s2"))
+    assert a.join(b, "id").filter("abs(score - s2) > 1e-12").count() == 0
+    meta = P.load_metadata(spark, path)
+    assert meta["valset_used"] == 2 and meta["params"] == {"alpha": 1.0}
+
+
+def test_row_cap(spark):
+    df = spark.createDataFrame([(i,) for i in (5, 3, 9, 1)], "id long")
+    assert [r.id for r in FI.row_cap(df, 2).collect()] == [1, 3]
