@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions import clean as C
 from sifter.functions.stem import stem_table
+from sifter.operators.joins import sized_broadcast
 from sifter.session import checkpoint
 
 
@@ -41,14 +42,16 @@ def terms(df: DataFrame, id_cols: Sequence[str] = ("id",), text_col: str = "cont
     step into step grows the expression exponentially).  The per-article
     counts are persisted so the text is cleaned once for both uses.  AQE
     broadcasts the stem table when its measured size allows and splits
-    hot-token partitions otherwise.
+    hot-token partitions otherwise.  The stem table is broadcast under a
+    row bound (``sized_broadcast``): then the per-article partitioning
+    survives the join and the re-count per stem needs no exchange.
     """
     cleaned = C.with_clean(df.select(*id_cols, text_col), text_col, "_clean", opts)
     toks = cleaned.select(*id_cols, F.explode(C.tokenize("_clean")).alias("word"))
     counted = toks.groupBy(*id_cols, "word").agg(F.count(F.lit(1)).cast("int").alias("n"))
     if stem:
         counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
-        stems = checkpoint(stem_table(counted.select("word"), "word"))
+        stems = sized_broadcast(checkpoint(stem_table(counted.select("word"), "word")))
         counted = (counted.join(stems, "word")
                    .groupBy(*id_cols, F.col("stem").alias("word"))
                    .agg(F.sum("n").cast("int").alias("n")))

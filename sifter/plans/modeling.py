@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,9 @@ def model_inputs(corpus: DataFrame, plan: splits.SplitPlan, stem: bool = True,
     kept = labels.label_filter_group(corpus)
     side = kept if narrow is None else labels.label_filter_group(narrow)
     firsts = dedup.first_ids(side)
-    df = splits.assign_splits(kept.join(firsts, "id", "left_semi"), ids=firsts).select(
-        "id", "type", "orig_type", "split", "content")
+    df = (splits.assign_splits(kept.join(firsts, "id", "left_semi"), ids=firsts)
+          .select("id", "type", "orig_type", "split", "content")
+          .persist(StorageLevel.MEMORY_AND_DISK))
     train = splits.train_rows(df, plan)
     long = FE.terms(train, ("type", "id"), stem=stem)
     vocab = V.cut(V.materialize(V.to_wide(V.word_counts(long))), head, tail)
