@@ -987,3 +987,25 @@ def q_row_cap(spark, sf_dir):
     """Row cap (S2): the first 100 articles in id order -- the cap is the
     feature here."""
     return FI.row_cap(tables.corpus(spark, sf_dir, distribute=False), 100).select("id", "orig_type")
+
+
+@register("shortened", "WITH " + KEPT_SQL + " SELECT id, left(coalesce(content, ''), 500) AS shortened FROM kept")
+def q_shortened(spark, sf_dir):
+    """Shortened corpus (P5): (id, first 500 characters)."""
+    kept = kept_corpus(spark, sf_dir, distribute=False)
+    return kept.select("id", dedup.prefix("content").alias("shortened"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """Every base model fitted on training set 1 and the lexicon model,
+    scored on the validation split and evaluated in one aggregate keyed by
+    model (M11, M14, A13, A14)."""
+    mi = _inputs(spark, sf_dir)
+    val = MD.eval_bags(mi, PLAN.val)
+    longs = None
+    for m in STK.BASE_MODELS:
+        s = MD.base_scores(mi, m, val, QUERY_PARAMS.get(m)).select(
+            "id", "type", F.lit(m).alias("model"), "score")
+        longs = s if longs is None else longs.unionByName(s)
+    return metric_columns(EV.evaluate(longs, "score", "type", ["model"]), ["model"])
