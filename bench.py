@@ -53,8 +53,12 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    n_labelled = spark.read.parquet(f"{sf_dir}/labels.parquet").count()
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "input_rows": {"documents": n_docs, "labelled": n_labelled},
+                      "docs_per_sec": {k: round(n_docs / v, 1) for k, v in times.items() if v}}))
     spark.stop()
 
 
