@@ -1009,3 +1009,38 @@ def q_model_metrics(spark, sf_dir):
             "id", "type", F.lit(m).alias("model"), "score")
         longs = s if longs is None else longs.unionByName(s)
     return metric_columns(EV.evaluate(longs, "score", "type", ["model"]), ["model"])
+
+
+CNB_SQL = NB_SQL[:NB_SQL.index("prior AS (")] + """
+tj AS (SELECT word, sum(n) AS t FROM ncj GROUP BY word),
+tall AS (SELECT sum(total) AS t FROM tot),
+ctheta AS (
+  SELECT c.type, f.word,
+         -(ln(coalesce(tj.t, 0) - coalesce(ncj.n, 0) + 1.0) - ln(tall.t - tot.total + nf.v * 1.0)) AS th
+  FROM classes c CROSS JOIN feat f JOIN tot ON tot.type = c.type CROSS JOIN nf CROSS JOIN tall
+  LEFT JOIN ncj ON ncj.type = c.type AND ncj.word = f.word
+  LEFT JOIN tj ON tj.word = f.word
+),
+raw AS (
+  SELECT t2.id, t2.type AS label, c.type AS cls, coalesce(sum(b.n * th.th), 0) AS r
+  FROM t2 CROSS JOIN classes c
+  LEFT JOIN tbags b ON b.id = t2.id
+  LEFT JOIN ctheta th ON th.type = c.type AND th.word = b.word
+  GROUP BY t2.id, t2.type, c.type
+)
+SELECT id, label AS type,
+       round(tanh((max(r) FILTER (WHERE cls = 'reliable') - max(r) FILTER (WHERE cls = 'fake')) / 2), 6)
+         AS score
+FROM raw GROUP BY id, label"""
+
+
+@register("nb_complement_exact", CNB_SQL)
+def q_nb_complement_exact(spark, sf_dir):
+    """Complement naive Bayes (M1, M6, M9) on unstemmed bags, fitted on
+    training set 1 and scoring set 2: weights from the other class's
+    counts, no prior in the score."""
+    mi = MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=False,
+                         narrow=tables.corpus(spark, sf_dir, distribute=False))
+    target = mi.bags.filter(F.col("trn_split") == 2)
+    return MD.base_scores(mi, "compl_nb", target).select(
+        "id", "type", F.round("score", 6).alias("score"))
