@@ -56,7 +56,7 @@ def terms(df: DataFrame, id_cols: Sequence[str] = ("id",), text_col: str = "cont
                    .groupBy(*id_cols, F.col("stem").alias("word"))
                    .agg(F.sum("n").cast("int").alias("n")))
     if vocab is not None:
-        counted = counted.join(vocab.select("word"), "word", "left_semi")
+        counted = counted.join(sized_broadcast(vocab.select("word")), "word", "left_semi")
     return counted
 
 
@@ -76,7 +76,7 @@ def with_bags(df: DataFrame, id_col: str = "id", text_col: str = "content",
     if long is None:
         long = terms(df, (id_col,), text_col, stem, vocab)
     elif vocab is not None:
-        long = long.join(vocab.select("word"), "word", "left_semi")
+        long = long.join(sized_broadcast(vocab.select("word")), "word", "left_semi")
     bags = bag_map(long.select(id_col, "word", "n"), id_col)
     empty = F.create_map().cast("map<string,int>")
     return (df.join(bags, id_col, "left")

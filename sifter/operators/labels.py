@@ -74,21 +74,6 @@ def account(df: DataFrame, status_col: str = "status") -> DataFrame:
                          total.cast("long").alias("read"))
 
 
-def observe_accounting(df: DataFrame, status_col: str = "status"):
-    """Attach the row accounting to ``df`` as an ``Observation``: the
-    counts are gathered while the first action (e.g. writing the labelled
-    rows) runs, with no extra pass over the data.  Returns (observed
-    DataFrame, Observation); read ``obs.get`` after the action.  Use it on
-    a linear plan that is written or collected directly: an observed plan
-    that ends up as a broadcast build side cannot be shipped."""
-    from pyspark.sql import Observation
-    obs = Observation("row_accounting")
-    s = F.col(status_col)
-    observed = df.observe(obs, *[F.count_if(s == x).alias(x) for x in STATUSES],
-                          F.count(F.lit(1)).alias("read"))
-    return observed, obs
-
-
 def statement_labels(df: DataFrame, label_col: str = "orig_type") -> DataFrame:
     """Second-corpus labels: map the four usable labels, drop the rest."""
     return (df.withColumn("type", map_lookup(F.col(label_col), STATEMENT_GROUPS))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sifter.operators.joins import sized_broadcast
+
 INTERCEPT = -1  # index of the intercept in the emitted rows
 
 
@@ -49,7 +51,7 @@ class PAModel:
     def decision(self, long: DataFrame, index: DataFrame, articles: DataFrame,
                  id_col: str = "id") -> DataFrame:
         """Margin w.x + b per article (articles without known words get b)."""
-        m = (long.join(index, "word").join(self.weights, "idx")
+        m = (long.join(sized_broadcast(index), "word").join(sized_broadcast(self.weights), "idx")
              .groupBy(id_col).agg(F.sum(F.col("n") * F.col("w")).alias("_m")))
         return (articles.join(m, id_col, "left")
                 .withColumn("margin", F.coalesce("_m", F.lit(0.0)) + F.lit(self.bias)).drop("_m"))

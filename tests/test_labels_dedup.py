@@ -60,10 +60,3 @@ def test_hot_group_dedup(spark):
     assert dedup.duplicate_ids(df).count() == n // 3 - 1
     assert dedup.drop_duplicates(df).filter(F.col("content") == "hot").first().id == 0
 
-
-def test_observed_accounting(spark, tmp_path):
-    rows = [(1, "bias", "a"), (2, "satire", "b"), (3, "opinion", "c")]
-    df, obs = labels.observe_accounting(labels.apply_labels(spark.createDataFrame(rows, SCHEMA)))
-    df.write.parquet(str(tmp_path / "out"))
-    got = obs.get
-    assert (got["included"], got["excluded"], got["skipped"], got["read"]) == (1, 1, 1, 3)
