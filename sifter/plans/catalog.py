@@ -871,11 +871,11 @@ def q_meta_predictions(spark, sf_dir):
     """Meta model (M12) fitted on set 2's scores, predicting the
     validation split (+1 reliable, -1 fake)."""
     mi = _inputs(spark, sf_dir)
-    wide2 = MD.stacked(mi, params=QUERY_PARAMS)
-    asm, meta = STK.fit_meta(wide2, n_trees=20, max_depth=10)
     val = MD.eval_bags(mi, PLAN.val)
-    wide_val = MD.stacked(mi, params=QUERY_PARAMS, target=val)
-    return STK.score_meta(asm, meta, wide_val).select("id", "type", "preds_meta")
+    wides = MD.stacked_many(mi, {"set2": mi.bags.filter(F.col("trn_split") == 2), "val": val},
+                            params=QUERY_PARAMS)
+    asm, meta = STK.fit_meta(wides["set2"], n_trees=20, max_depth=10)
+    return STK.score_meta(asm, meta, wides["val"]).select("id", "type", "preds_meta")
 
 
 # ------------------------------------------------------- step 9: file formats

@@ -97,14 +97,24 @@ def base_scores(mi: ModelInputs, name: str, target: DataFrame, params: dict | No
     return scorer(target).select("id", "type", "orig_type", "score")
 
 
+def stacked_many(mi: ModelInputs, targets: dict[str, DataFrame], models=ST.BASE_MODELS,
+                 params: dict | None = None) -> dict[str, DataFrame]:
+    """Wide score tables of several targets; each base model is fitted
+    once (on training set 1) and scores every target."""
+    params = params or {}
+    longs: dict[str, DataFrame] = {}
+    for m in models:
+        scorer = fit_base(mi, m, params.get(m))
+        for name, tgt in targets.items():
+            s = scorer(tgt).select("id", F.lit(m).alias("model"), "score")
+            longs[name] = s if name not in longs else longs[name].unionByName(s)
+    return {name: ST.to_wide(longs[name], tgt.select("id", "type", "orig_type"), models)
+            for name, tgt in targets.items()}
+
+
 def stacked(mi: ModelInputs, models=ST.BASE_MODELS, params: dict | None = None,
             target: DataFrame | None = None) -> DataFrame:
     """Wide score table of ``target`` (default: training set 2)."""
-    params = params or {}
     if target is None:
         target = mi.bags.filter(F.col("trn_split") == 2)
-    longs = None
-    for m in models:
-        s = base_scores(mi, m, target, params.get(m)).select("id", F.lit(m).alias("model"), "score")
-        longs = s if longs is None else longs.unionByName(s)
-    return ST.to_wide(longs, target.select("id", "type", "orig_type"), models)
+    return stacked_many(mi, {"t": target}, models, params)["t"]
