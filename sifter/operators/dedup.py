@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREFIX_CHARS = 500  # the reference's shortening length
+DIGEST = "_digest"
 
 
 def prefix(col: Column | str, n: int = PREFIX_CHARS) -> Column:
@@ -26,19 +27,27 @@ def prefix(col: Column | str, n: int = PREFIX_CHARS) -> Column:
     return F.substring(F.coalesce(c, F.lit("")), 1, n)
 
 
+def prefix_digest(text: Column, n: int = PREFIX_CHARS) -> Column:
+    """SHA-256 of the first ``n`` characters (null text as '')."""
+    return F.sha2(prefix(text, n), 256)
+
+
 def group_digest(df: DataFrame, keys: Sequence[str] | None = None,
                  text_col: str = "content", n: int = PREFIX_CHARS) -> Column:
-    """Digest of the grouping key: the text prefix, or a list of columns."""
+    """Digest of the grouping key: the text prefix (or a ``_digest``
+    column computed at the scan), or a list of columns."""
     if not keys:
-        return F.sha2(prefix(text_col, n), 256)
+        if DIGEST in df.columns and text_col not in df.columns:
+            return F.col(DIGEST)
+        return prefix_digest(F.col(text_col), n)
     return F.sha2(F.to_json(F.struct(*[F.col(k) for k in keys])), 256)
 
 
 def first_ids(df: DataFrame, keys: Sequence[str] | None = None, id_col: str = "id",
               text_col: str = "content", n: int = PREFIX_CHARS) -> DataFrame:
     """One id per group: the lowest."""
-    return (df.select(F.col(id_col), group_digest(df, keys, text_col, n).alias("_digest"))
-            .groupBy("_digest").agg(F.min(id_col).alias(id_col))
+    return (df.select(F.col(id_col), group_digest(df, keys, text_col, n).alias("_key"))
+            .groupBy("_key").agg(F.min(id_col).alias(id_col))
             .select(id_col))
 
 

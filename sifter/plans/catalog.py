@@ -75,13 +75,19 @@ def kept_corpus(spark: SparkSession, sf_dir: str, distribute: bool = True) -> Da
     return labels.label_filter_group(tables.corpus(spark, sf_dir, distribute))
 
 
+def kept_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept articles as (id, domain, orig_type, type, _digest): the prefix
+    digest is computed at the scan, so the label join moves no text."""
+    return labels.label_filter_group(
+        tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest))
+
+
 def deduped_split_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept, de-duplicated articles with their balanced split.  The text
     is distributed by id once; duplicate digests and split ranks come
     from a narrow read and reach the text only as id lists."""
     wide = kept_corpus(spark, sf_dir)
-    narrow = kept_corpus(spark, sf_dir, distribute=False)
-    firsts = dedup.first_ids(narrow)
+    firsts = dedup.first_ids(kept_digests(spark, sf_dir))
     deduped = wide.join(firsts, "id", "left_semi")
     # shared by every later branch (bags, lengths, eval rows): persisted
     # (memory, spilling to disk; rebuilt from lineage if an executor is
@@ -135,7 +141,7 @@ SELECT id FROM (
 def q_duplicate_ids(spark, sf_dir):
     """Ids of all but the first article with the same 500-character
     prefix (P5, W1), among label-filtered articles (W2)."""
-    return dedup.duplicate_ids(kept_corpus(spark, sf_dir, distribute=False))
+    return dedup.duplicate_ids(kept_digests(spark, sf_dir))
 
 
 @register("duplicate_ids_multi", "WITH " + KEPT_SQL + """
@@ -154,7 +160,7 @@ SELECT id, orig_type, type FROM (
   FROM kept) WHERE rn = 1""")
 def q_dedup_keep_first(spark, sf_dir):
     """Reduce + dedup in one pass (C1, W2, J1): first of each prefix."""
-    return dedup.drop_duplicates(kept_corpus(spark, sf_dir, distribute=False)).select("id", "orig_type", "type")
+    return dedup.drop_duplicates(kept_digests(spark, sf_dir)).select("id", "orig_type", "type")
 
 
 @register("dups_distribution", "WITH " + FLAGGED_SQL + """
@@ -166,7 +172,7 @@ FROM flagged GROUP BY ROLLUP (orig_type)""")
 def q_dups_distribution(spark, sf_dir):
     """Duplicate distribution by source label (A18, J2), overall row by
     rollup."""
-    return dedup.duplicate_distribution(dedup.flag_duplicates(kept_corpus(spark, sf_dir, distribute=False)))
+    return dedup.duplicate_distribution(dedup.flag_duplicates(kept_digests(spark, sf_dir)))
 
 
 # ------------------------------------------------------------- step 1: splits
@@ -318,8 +324,7 @@ def train_wide(spark, sf_dir, stem=False):
 
 def train_count(spark, sf_dir):
     """Number of training articles, from ids only (no text)."""
-    narrow = kept_corpus(spark, sf_dir, distribute=False)
-    firsts = dedup.first_ids(narrow)
+    firsts = dedup.first_ids(kept_digests(spark, sf_dir))
     ids = splits.train_rows(splits.split_ids(firsts), PLAN)
     return LX.n_articles(ids)
 
@@ -835,7 +840,8 @@ QUERY_PARAMS = {"random_forest": {"n_trees": 20, "max_depth": 10},
 
 def _inputs(spark, sf_dir):
     return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=True,
-                           narrow=tables.corpus(spark, sf_dir, distribute=False))
+                           narrow=tables.corpus(spark, sf_dir, distribute=False,
+                                                text_key=dedup.prefix_digest))
 
 
 def _base_query(name):
@@ -976,7 +982,8 @@ def q_nb_multinomial_exact(spark, sf_dir):
     training set 1 and scoring set 2; P(reliable) - P(fake) from Spark's
     smoothed prior and class-conditional word probabilities."""
     mi = MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=False,
-                         narrow=tables.corpus(spark, sf_dir, distribute=False))
+                         narrow=tables.corpus(spark, sf_dir, distribute=False,
+                                              text_key=dedup.prefix_digest))
     target = mi.bags.filter(F.col("trn_split") == 2)
     return MD.base_scores(mi, "multi_nb", target).select(
         "id", "type", F.round("score", 6).alias("score"))
@@ -1040,7 +1047,8 @@ def q_nb_complement_exact(spark, sf_dir):
     training set 1 and scoring set 2: weights from the other class's
     counts, no prior in the score."""
     mi = MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=False,
-                         narrow=tables.corpus(spark, sf_dir, distribute=False))
+                         narrow=tables.corpus(spark, sf_dir, distribute=False,
+                                              text_key=dedup.prefix_digest))
     target = mi.bags.filter(F.col("trn_split") == 2)
     return MD.base_scores(mi, "compl_nb", target).select(
         "id", "type", F.round("score", 6).alias("score"))

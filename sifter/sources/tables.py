@@ -50,22 +50,28 @@ def orig_type_from_labels(has_label: Column, quality: Column, toxic: Column) ->
             .otherwise(F.lit("reliable")))
 
 
-def corpus(spark: SparkSession, sf_dir: str, distribute: bool = True) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, distribute: bool = True,
+           text_key=None) -> DataFrame:
     """Articles as (id, domain, orig_type, content, scraped_at).
 
     A left join on the unique key ``doc_id``; Spark plans it as a
     sort-merge or (runtime-sized, via AQE) broadcast join.
     ``distribute=False`` gives the undistributed scan, for side tables
-    (duplicate digests, split ids) that never move the text.
+    (duplicate digests, split ids) that never move the text;
+    ``text_key``: a function of the text column computed at the scan,
+    before any join, returned as ``_digest`` in place of ``content`` --
+    so only that key, never the text, crosses a shuffle.
     """
     docs = read_documents(spark, sf_dir, "doc_id", "source", "text", distribute=distribute)
+    if text_key is not None:
+        docs = docs.select("doc_id", "source", text_key(F.col("text")).alias("_digest"))
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
     return (docs.join(labels, "doc_id", "left")
             .select(F.col("doc_id").alias("id"),
                     F.col("source").alias("domain"),
                     orig_type_from_labels(F.col("_has_label"), F.col("quality"), F.col("toxic")).alias("orig_type"),
-                    F.col("text").alias("content"),
+                    F.col("_digest") if text_key is not None else F.col("text").alias("content"),
                     F.lit(None).cast("string").alias("scraped_at")))
 
 
