@@ -82,18 +82,23 @@ def kept_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest))
 
 
-def deduped_split_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deduped_split_corpus(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
     """Kept, de-duplicated articles with their balanced split.  The text
     is distributed by id once; duplicate digests and split ranks come
     from a narrow read and reach the text only as id lists."""
     wide = kept_corpus(spark, sf_dir)
     firsts = dedup.first_ids(kept_digests(spark, sf_dir))
     deduped = wide.join(firsts, "id", "left_semi")
-    # shared by every later branch (bags, lengths, eval rows): persisted
-    # (memory, spilling to disk; rebuilt from lineage if an executor is
-    # lost) instead of re-derived from the scan per branch.  Whole runs
-    # write this stage as Parquet (``jobs.run_pipeline``).
-    return splits.assign_splits(deduped, ids=firsts).persist(StorageLevel.MEMORY_AND_DISK)
+    out = splits.assign_splits(deduped, ids=firsts)
+    # Kept lazy for a single consumer: the text then stays partitioned by
+    # id and per-article aggregates need no exchange.  ``shared=True``
+    # (several branches read the text: summaries, model inputs) persists
+    # it instead -- memory spilling to disk, rebuilt from lineage if an
+    # executor is lost -- trading one shuffle of per-article partial
+    # counts (a cached scan reports no partitioning) for re-reading and
+    # re-shuffling the text per branch.  Whole runs write this stage as
+    # Parquet (``jobs.run_pipeline``).
+    return out.persist(StorageLevel.MEMORY_AND_DISK) if shared else out
 
 
 def corpus_with_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,8 +540,9 @@ from sifter.operators import summary as SU  # noqa: E402
 
 
 def split_corpus(spark, sf_dir):
-    """De-duplicated, label-filtered articles with their balanced split."""
-    return deduped_split_corpus(spark, sf_dir)
+    """De-duplicated, label-filtered articles with their balanced split,
+    persisted for queries whose plan reads the text in several branches."""
+    return deduped_split_corpus(spark, sf_dir, shared=True)
 
 
 TOKS_EXPR = C.tokens_sql(C.clean_sql("content"))
@@ -597,7 +603,7 @@ SELECT e.id, e.orig_type, e.type, t.word, t.n
 FROM evalrows e JOIN eterms t ON e.id = t.id WHERE e.split = 2""")
 def q_eval_set(spark, sf_dir):
     """Validation set (C3, F6): unfiltered bags of split 2, long form."""
-    df = split_corpus(spark, sf_dir)
+    df = deduped_split_corpus(spark, sf_dir)
     ev = SU.prepare_eval(df, df.select("id", "split"), PLAN.val, stem=False)
     return ev.select("id", "orig_type", "type", F.explode("words").alias("word", "n"))
 
@@ -743,7 +749,7 @@ def fitted_lexicon(spark, sf_dir):
 
 
 def lexicon_scored(spark, sf_dir):
-    df = split_corpus(spark, sf_dir)
+    df = deduped_split_corpus(spark, sf_dir)
     rows = df.filter(F.col("split").isin(PLAN.test, PLAN.val)).select("id", "type", "split", "content")
     long = FE.terms(rows, ("id",), stem=False)
     return LX.score_lexicon(long, fitted_lexicon(spark, sf_dir), rows.drop("content"))
@@ -931,7 +937,7 @@ def q_stream_lexicon_scores(spark, sf_dir):
     joined to the (static) evaluation ids, scored per micro-batch with
     ``foreachBatch`` into a Parquet sink, run to completion."""
     lex = fitted_lexicon(spark, sf_dir)
-    ev = split_corpus(spark, sf_dir).filter(F.col("split").isin(PLAN.test, PLAN.val)) \
+    ev = deduped_split_corpus(spark, sf_dir).filter(F.col("split").isin(PLAN.test, PLAN.val)) \
         .select("id", "type", "split")
     schema = tables.read_table(spark, sf_dir, "documents").schema
     docs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
