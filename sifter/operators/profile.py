@@ -6,7 +6,7 @@ keeps a value->count map per group, so its memory follows the number of
 distinct values, not rows; ``approx=True`` switches to the mergeable
 ``percentile_approx`` sketch), then one more aggregate for whiskers and
 mean after joining the per-group quartiles back -- a join on the group
-key against one row per group.
+key against one row per group, broadcast under a row bound.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sifter.operators.joins import sized_broadcast
+
 
 def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0,
               approx: bool = False, accuracy: int = 10000) -> DataFrame:
@@ -32,7 +34,10 @@ def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0,
                      F.col("_q")[2].alias("q3")))
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
-    j = df.select(by, v.alias("_v")).join(quart.select(by, "q1", "q3"), by)
+    # one row per group: computed once, then broadcast under a row bound,
+    # so a group holding most rows never becomes one join partition
+    quart = quart.persist()
+    j = df.select(by, v.alias("_v")).join(sized_broadcast(quart.select(by, "q1", "q3")), by)
     whisk = j.groupBy(by).agg(
         F.min(F.when(F.col("_v") >= lo_fence, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(F.col("_v") <= hi_fence, F.col("_v"))).alias("whisker_high"))
