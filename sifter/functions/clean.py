@@ -155,7 +155,7 @@ def with_clean(df: DataFrame, text_col: str, out_col: str = "clean",
 def tokenize(col: Column | str) -> Column:
     """Split cleaned text on spaces; no empty tokens."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(c, " "), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(c, " "), "")
 
 
 def _sql_lit(s: str) -> str:

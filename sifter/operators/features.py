@@ -123,9 +123,9 @@ def token_lengths(tokens: Column | str) -> tuple[Column, Column]:
     """(mean, median) token length of a token array; null for no tokens."""
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     lens = F.array_sort(F.transform(t, lambda x: F.length(x)))
-    n = F.size(lens)
-    total = F.aggregate(lens, F.lit(0).cast("long"), lambda a, x: a + x)
-    mean = F.when(n > 0, total / n)
+    n = F.size(t)
+    # total characters without a lambda: the tokens joined end to end
+    mean = F.when(n > 0, F.length(F.array_join(t, "")) / n)
     lo = F.element_at(lens, ((n + 1) / 2).cast("int"))
     hi = F.element_at(lens, (n / 2).cast("int") + 1)
     median = F.when(n > 0, (lo + hi) / 2.0)
