@@ -65,7 +65,8 @@ def fit_base(mi: ModelInputs, name: str, params: dict | None = None):
         return _fit_pa(train, params)
     cv = CL.fit_vectorizer(train)
     data = CL.with_label(CL.vectorize(train, cv)).cache()
-    model = CL.fit_model(name, data, params)
+    n = data.count()
+    model = CL.fit_model(name, CL.training_partitions(data, n), params, n_train=n)
     data.unpersist()
 
     def scorer(df: DataFrame) -> DataFrame:
