@@ -6,9 +6,8 @@ conditions (measure ``m``, ``*v*``, ``*d``, ``*o``) are read off a
 consonant/vowel string of the word ("C"/"V" per letter).  The CV string
 of a stem is the prefix of the word's CV string, so one CV string per
 step serves every condition of that step.  Between steps the word is
-materialised in its own projection (``stem_column`` is used through
-``with_stem``), so Catalyst does not inline a step's expression into
-every reference of the next one.
+materialised in its own projection (``with_stem``), so Catalyst does
+not inline a step's expression into every reference of the next one.
 
 NLTK-mode extras: words of at most two letters are left alone; a fixed
 list of irregular forms; ``-ies``/``-ied`` of four letters keep ``ie``;
@@ -43,10 +42,6 @@ STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment
 # --- end of fixed values -------------------------------------------------
 
 
-def _len(w: Column) -> Column:
-    return F.length(w)
-
-
 def _cut(w: Column, k: int) -> Column:
     """``w`` without its last ``k`` characters."""
     return w.substr(F.lit(1), F.length(w) - k)

@@ -8,6 +8,7 @@ differ between engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,8 +16,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sifter.functions import clean as C
+from sifter.functions.stem import stem_table
 from sifter.operators import dedup, labels, splits
+from sifter.operators import evaluate as EV
+from sifter.operators import features as FE
+from sifter.operators import lexicon as LX
+from sifter.operators import profile as PR
+from sifter.operators import stacking as STK
+from sifter.operators import summary as SU
+from sifter.operators import vocab as V
+from sifter.plans import modeling as MD
+from sifter.session import ensure_checkpoint_dir
+from sifter.sources import files as FI
 from sifter.sources import tables
+from sifter.streaming import scoring as SS
 
 
 @dataclass
@@ -254,10 +268,6 @@ def q_eval_split(spark, sf_dir):
 
 
 # --------------------------------------------------------------- step 2: text
-from sifter.functions import clean as C  # noqa: E402
-from sifter.functions.stem import stem_table  # noqa: E402
-from sifter.operators import features as FE  # noqa: E402
-from sifter.operators import vocab as V  # noqa: E402
 
 PLAN = splits.SplitPlan()
 
@@ -533,10 +543,6 @@ def q_fr_ratio(spark, sf_dir):
 
 
 # ------------------------------------------------- step 4: summary and profile
-from sifter.operators import evaluate as EV  # noqa: E402
-from sifter.operators import lexicon as LX  # noqa: E402
-from sifter.operators import profile as PR  # noqa: E402
-from sifter.operators import summary as SU  # noqa: E402
 
 
 def split_corpus(spark, sf_dir):
@@ -835,8 +841,6 @@ def q_evaluate(spark, sf_dir):
 
 
 # ------------------------------------------------------ step 7-8: classifiers
-from sifter.operators import stacking as STK  # noqa: E402
-from sifter.plans import modeling as MD  # noqa: E402
 
 # small enough for the sf0.01 check; the jobs take the reference's sizes
 QUERY_PARAMS = {"random_forest": {"n_trees": 20, "max_depth": 10},
@@ -891,10 +895,6 @@ def q_meta_predictions(spark, sf_dir):
 
 
 # ------------------------------------------------------- step 9: file formats
-import uuid  # noqa: E402
-
-from sifter.sources import files as FI  # noqa: E402
-from sifter.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def scratch_path(spark, name: str) -> str:
@@ -926,7 +926,6 @@ def q_literal_map_roundtrip(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-from sifter.streaming import scoring as SS  # noqa: E402
 
 
 @register("stream_lexicon_scores", "WITH " + LEX_SQL + """

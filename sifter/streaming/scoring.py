@@ -12,7 +12,6 @@ Parquet sink.  Checkpoints live under the shared checkpoint folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sifter.functions import clean as C

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from sifter.plans import jobs
 from sifter.sources import tables
 from sifter.streaming import scoring
@@ -47,4 +45,3 @@ def test_scoring_stream(spark, tmp_path):
     q.awaitTermination()
     got = {r.id: round(r.score, 6) for r in spark.read.parquet(str(tmp_path / "sink")).collect()}
     assert got == {1: round(-2 / 2.1, 6), 2: round(1 / 1.1, 6), 3: 0.0}
-    _ = F
