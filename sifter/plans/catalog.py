@@ -1057,3 +1057,79 @@ def q_nb_complement_exact(spark, sf_dir):
     target = mi.bags.filter(F.col("trn_split") == 2)
     return MD.base_scores(mi, "compl_nb", target).select(
         "id", "type", F.round("score", 6).alias("score"))
+
+
+@register("stream_clean_labels", "WITH " + CORPUS_SQL + """
+SELECT id, orig_type,
+       CASE WHEN orig_type IN ('fake', 'bias', 'junksci', 'hate') THEN 'fake'
+            WHEN orig_type = 'reliable' THEN 'reliable' END AS type,
+       CASE WHEN orig_type IN ('satire','conspiracy','clickbait','unreliable','political',
+                               'state','unknown','rumor','') THEN 'excluded'
+            WHEN orig_type IN ('fake','bias','junksci','hate','reliable') THEN 'included'
+            ELSE 'skipped' END AS status,
+       """ + C.clean_sql("content") + """ AS clean
+FROM corpus""")
+def q_stream_clean_labels(spark, sf_dir):
+    """Labelling and cleaning on a stream (P1, P2, F1 as a Structured
+    Streaming projection): documents read as a file stream, left-joined
+    to the static labels table, written to a Parquet sink and run to
+    completion."""
+    schema = tables.read_table(spark, sf_dir, "documents").schema
+    docs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    lab = tables.read_table(spark, sf_dir, "labels").select(
+        "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
+    stream = docs.join(lab, "doc_id", "left").select(
+        F.col("doc_id").alias("id"),
+        tables.orig_type_from_labels(F.col("_has_label"), F.col("quality"), F.col("toxic"))
+        .alias("orig_type"),
+        F.col("text").alias("content"))
+    out = SS.label_stream(stream).select("id", "orig_type", "type", "status", "clean")
+    sink, ckpt = scratch_path(spark, "stream-clean"), scratch_path(spark, "stream-clean-ckpt")
+    q = (out.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+STATEMENTS_SQL = """,
+st AS (
+  SELECT d.doc_id AS id, d.text AS content,
+         CASE WHEN l.doc_id IS NULL THEN 'half-true' WHEN l.toxic = 1 THEN 'pants-fire'
+              WHEN l.quality = 0 THEN 'false' ELSE 'true' END AS orig_type
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+),
+stk AS (
+  SELECT id, CASE WHEN orig_type IN ('true', 'mostly-true') THEN 'reliable' ELSE 'fake' END AS type,
+         content
+  FROM st WHERE orig_type IN ('true', 'mostly-true', 'false', 'pants-fire')
+),
+sterms AS (
+  SELECT id, word, CAST(count(*) AS INTEGER) AS n FROM (
+    SELECT id, unnest(""" + TOKS_EXPR + """) AS word FROM stk) GROUP BY id, word
+),
+scores2 AS (
+  SELECT s.id, s.type,
+         coalesce(sum(t.n * l.idf_weight * l.fakeness_score) / (0.1 + sum(t.n * l.idf_weight)), 0.0)
+           AS score
+  FROM stk s LEFT JOIN sterms t ON s.id = t.id LEFT JOIN lex l ON t.word = l.word
+  GROUP BY s.id, s.type
+),
+lab2 AS (SELECT *, CASE WHEN isnan(score) THEN NULL WHEN score < 0 THEN 'fake' ELSE 'reliable' END
+           AS pred FROM scores2)"""
+
+
+@register("statements_evaluate", "WITH " + LEX_SQL + STATEMENTS_SQL + """
+SELECT count(*) FILTER (WHERE pred = 'fake' AND type = 'fake') AS tp,
+       count(*) FILTER (WHERE pred = 'fake' AND type <> 'fake') AS fp,
+       count(*) FILTER (WHERE coalesce(pred, '') <> 'fake' AND type = 'reliable') AS tn,
+       count(*) FILTER (WHERE coalesce(pred, '') <> 'fake' AND type <> 'reliable') AS fn
+FROM lab2""")
+def q_statements_evaluate(spark, sf_dir):
+    """Lexicon model scored and evaluated on the second corpus (C4, M14
+    third dataset, A13): confusion counts."""
+    lex = fitted_lexicon(spark, sf_dir)
+    st = labels.statement_labels(tables.statements(spark, sf_dir))
+    long = FE.terms(st.select("id", "content"), ("id",), stem=False)
+    scored = LX.score_lexicon(long, lex, st.select("id", "type"))
+    return EV.confusion(scored.withColumn("pred", EV.to_label("score")))
