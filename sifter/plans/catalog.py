@@ -1133,3 +1133,28 @@ def q_statements_evaluate(spark, sf_dir):
     long = FE.terms(st.select("id", "content"), ("id",), stem=False)
     scored = LX.score_lexicon(long, lex, st.select("id", "type"))
     return EV.confusion(scored.withColumn("pred", EV.to_label("score")))
+
+
+@register("box_stats_bag_size", "WITH " + SUMMARY_SQL + """,
+sizes AS (
+  SELECT s.id, s.orig_type, CAST(count(v.word) AS DOUBLE) AS bow_len
+  FROM summary s LEFT JOIN vterms v ON s.id = v.id GROUP BY s.id, s.orig_type
+),
+q AS (
+  SELECT orig_type, count(*) AS n, avg(bow_len) AS mean, quantile_cont(bow_len, 0.25) AS q1,
+         quantile_cont(bow_len, 0.5) AS median, quantile_cont(bow_len, 0.75) AS q3
+  FROM sizes GROUP BY orig_type
+)
+SELECT q.orig_type, q.n, round(q.mean, 6) AS mean, round(q.q1, 6) AS q1,
+       round(q.median, 6) AS median, round(q.q3, 6) AS q3,
+       min(s.bow_len) FILTER (WHERE s.bow_len >= q.q1 - (q.q3 - q.q1)) AS whisker_low,
+       max(s.bow_len) FILTER (WHERE s.bow_len <= q.q3 + (q.q3 - q.q1)) AS whisker_high
+FROM q JOIN sizes s ON q.orig_type = s.orig_type GROUP BY ALL""")
+def q_box_stats_bag_size(spark, sf_dir):
+    """Box-plot summary and mean of bag size (distinct vocabulary words)
+    per source label (A16, A17, F11)."""
+    vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
+    s = SU.summarize(split_corpus(spark, sf_dir), vocab, PLAN, stem=False)
+    b = PR.box_stats(s.withColumn("bow_len", F.size("words")), "bow_len", "orig_type", whis=1.0)
+    return b.select("orig_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "q1", "median", "q3")],
+                    "whisker_low", "whisker_high")

@@ -60,3 +60,25 @@ def test_hot_group_dedup(spark):
     assert dedup.duplicate_ids(df).count() == n // 3 - 1
     assert dedup.drop_duplicates(df).filter(F.col("content") == "hot").first().id == 0
 
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["", "a", "ab", "b" * 520, "b" * 500 + "x", None]),
+                          st.sampled_from(["fake", "reliable"])), min_size=1, max_size=25))
+def test_dedup_matches_brute_force(spark, rows):
+    data = [(i, lab, txt) for i, (txt, lab) in enumerate(rows)]
+    df = spark.createDataFrame(data, SCHEMA)
+    seen, expect = set(), []
+    for i, _, txt in data:  # ids ascend, so the first seen is the lowest id
+        key = (txt or "")[:500]
+        if key in seen:
+            expect.append(i)
+        seen.add(key)
+    assert sorted(r.id for r in dedup.duplicate_ids(df).collect()) == expect
+    kept = dedup.drop_duplicates(df)
+    assert dedup.duplicate_ids(kept).count() == 0
+    assert kept.count() == len(data) - len(expect)
