@@ -123,7 +123,8 @@ def corpus_with_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("label_filter_group", "WITH " + KEPT_SQL + """
 SELECT id, domain, orig_type, type FROM kept""")
 def q_label_filter_group(spark, sf_dir):
-    """Label filter (P1) and grouping (P2) over the whole corpus."""
+    """Label filter (P1) and grouping (P2) over the whole corpus, from a
+    column-pruned typed scan (S7)."""
     return kept_corpus(spark, sf_dir, distribute=False).select("id", "domain", "orig_type", "type")
 
 
@@ -239,7 +240,8 @@ SELECT k.id, k.type, s.split,
 FROM kept k JOIN split_ids s ON k.id = s.id
 WHERE s.split NOT IN (1, 2)""")
 def q_train_sets(spark, sf_dir):
-    """Split lookup by id join (J3), split guard (P6), set assignment."""
+    """Split lookup by id join (J3), split guard (P6), set assignment
+    under a validated split plan (P10, U2)."""
     docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
     split_ids = splits.assign_splits(docs)
     df = kept_corpus(spark, sf_dir).join(split_ids, "id")
@@ -434,7 +436,8 @@ def q_stem_merge_first(spark, sf_dir):
 
 @register("vocab_cut", "WITH " + TRAIN_SQL + cut_sql(0.5, 0.05) + " SELECT word, freq_total FROM vocab")
 def q_vocab_cut(spark, sf_dir):
-    """Vocabulary cut by mass (A3, W6, W9): head 0.5, tail 0.05."""
+    """Vocabulary cut by mass (A3, W6, W9; the frame preprocess C5 with
+    F12's totals): head 0.5, tail 0.05."""
     return V.cut(train_wide(spark, sf_dir), 0.5, 0.05).select("word", "freq_total")
 
 
@@ -467,7 +470,8 @@ def doc_corpus(spark, sf_dir):
 
 @register("bag_of_words", "WITH " + DOC_TERMS_SQL + " SELECT id, word, n FROM dterms")
 def q_bag_of_words(spark, sf_dir):
-    """Bag of words (F5, F6 without stemming) in long form."""
+    """Bag of words (F5, F6 without stemming) in long form: the sparse
+    document-term table (M2)."""
     return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False)
 
 
@@ -573,8 +577,9 @@ SELECT s.id, s.domain, s.orig_type, s.type, s.split, s.content_len,
 FROM summary s LEFT JOIN vterms v ON s.id = v.id
 GROUP BY ALL""")
 def q_article_summary(spark, sf_dir):
-    """Article summary (C2, F7-F10): vocabulary-filtered bag, text length,
-    mean and median token length; shown with bag sizes instead of the map."""
+    """Article summary (C2, F7-F10): label columns carried through (P7),
+    vocabulary-filtered bag, text length, mean and median token length;
+    shown with bag sizes instead of the map."""
     df = split_corpus(spark, sf_dir)
     vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
     s = SU.summarize(df, vocab, PLAN, stem=False)
@@ -870,14 +875,16 @@ for _name, _ops in (("logreg", "M1 M3 M9 M10"), ("svm", "M1 M7 M9"),
               "passive_aggressive": "pa"}.get(_name, _name)
     _fn = _base_query(_model)
     _fn.__doc__ = (f"Model '{_model}' fitted on training set 1, scoring training set 2 "
-                   f"({_ops}): P(reliable) - P(fake) in [-1, 1].")
+                   f"({_ops}; features placed beside id and label, J8): "
+                   f"P(reliable) - P(fake) in [-1, 1].")
     register(_name)(_fn)
 
 
 @register("stacked_scores")
 def q_stacked_scores(spark, sf_dir):
-    """Out-of-sample scores of all six base models on training set 2,
-    one column per model (M10, J5)."""
+    """Out-of-sample scores of all six base models on training set 2
+    (models from the registry with their parameters, M13), unioned (U1)
+    and pivoted to one column per model (M10, J5)."""
     mi = _inputs(spark, sf_dir)
     return MD.stacked(mi, params=QUERY_PARAMS)
 
@@ -885,7 +892,7 @@ def q_stacked_scores(spark, sf_dir):
 @register("meta_predictions")
 def q_meta_predictions(spark, sf_dir):
     """Meta model (M12) fitted on set 2's scores, predicting the
-    validation split (+1 reliable, -1 fake)."""
+    validation split (+1 reliable, -1 fake: labels as +-1, F18)."""
     mi = _inputs(spark, sf_dir)
     val = MD.eval_bags(mi, PLAN.val)
     wides = MD.stacked_many(mi, {"set2": mi.bags.filter(F.col("trn_split") == 2), "val": val},
@@ -907,7 +914,9 @@ SELECT id, domain, orig_type, type, md5(content) AS content_md5 FROM kept""")
 def q_csv_roundtrip(spark, sf_dir):
     """Corpus CSV scan (S1, S3, S9): the corpus written in the raw
     17-column CSV layout (quoted, multi-line) and read back with an
-    explicit schema and a corrupt-record column, then reduced (C1)."""
+    explicit schema and a corrupt-record column; ids cast with
+    ``try_cast``, unreadable ids to the rejects (P8); ``type`` renamed to
+    ``orig_type`` and grouped (P3); then reduced (C1)."""
     c = tables.corpus(spark, sf_dir).withColumnRenamed("orig_type", "type")
     path = scratch_path(spark, "corpus-csv")
     FI.write_corpus_csv(c, path)
@@ -1158,3 +1167,33 @@ def q_box_stats_bag_size(spark, sf_dir):
     b = PR.box_stats(s.withColumn("bow_len", F.size("words")), "bow_len", "orig_type", whis=1.0)
     return b.select("orig_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "q1", "median", "q3")],
                     "whisker_low", "whisker_high")
+
+
+
+@register("word_table_roundtrip", "WITH " + TRAIN_SQL + " SELECT * FROM wide")
+def q_word_table_roundtrip(spark, sf_dir):
+    """Word table sink and source (S10, S11, S6): counts and the article
+    count written as tables (a second write-if-absent leaves them alone),
+    read back and widened."""
+    long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=False)
+    counts = V.word_counts(long)
+    path = scratch_path(spark, "word-table")
+    FI.write_word_table(counts, train_count(spark, sf_dir), path)
+    FI.write_if_absent(counts.limit(0), f"{path}/words")
+    return V.to_wide(spark.read.parquet(f"{path}/words"))
+
+
+@register("whole_run_metrics")
+def q_whole_run_metrics(spark, sf_dir):
+    """The whole run (C6): reduce, dedup, split, word table, cut, summary,
+    evaluation sets, lexicon, six base models and the meta model, with
+    Parquet between stages, predictions partitioned by model (S12) and
+    metrics written as JSON (S14); evaluated on validation, test and the
+    second corpus.  Model sizes as in the model queries."""
+    from sifter.plans import jobs
+    cfg = jobs.PipelineConfig(out=scratch_path(spark, "whole-run"), stem=True,
+                              params=QUERY_PARAMS, meta_trees=20, meta_depth=10)
+    return jobs.run_pipeline(
+        spark, tables.corpus(spark, sf_dir), cfg,
+        narrow=tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest),
+        statements=tables.statements(spark, sf_dir))
