@@ -9,6 +9,7 @@ byte estimate of a derived plan says.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,5 +18,12 @@ DEFAULT_MAX_ROWS = 5_000_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast ``df`` if it has at most ``max_rows`` rows.  The side is
+    persisted while it is counted, so the join reuses what the count
+    computed; a side too large to broadcast is released again and joined
+    by shuffle."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
