@@ -65,6 +65,23 @@ def split_table(df: DataFrame, **kw) -> DataFrame:
     return split_ids(df.select(id_col), **kw)
 
 
+def dense_index(keys: DataFrame, key_col: str, out_col: str = "idx",
+                bucket_digits: int = 4) -> DataFrame:
+    """(key, 0-based dense index) for distinct keys, without a one-task
+    sort: the same bucketed ranking as the balanced split (md5-prefix
+    buckets, a bounded offset table, a window inside each bucket)."""
+    keyed = (keys.select(key_col).distinct()
+             .withColumn("_h", F.md5(F.col(key_col).cast("string")))
+             .withColumn("_bucket", F.substring("_h", 1, bucket_digits)))
+    offsets = (keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_offset", F.coalesce(F.sum("_n").over(
+                   Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .select("_bucket", "_offset"))
+    w = Window.partitionBy("_bucket").orderBy("_h", key_col)
+    return (keyed.join(F.broadcast(offsets), "_bucket")
+            .select(key_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("int").alias(out_col)))
+
+
 @dataclass(frozen=True)
 class SplitPlan:
     """Which splits train the base models (t1), the meta model (t2), and

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.operators import classifiers as CL
@@ -76,10 +76,8 @@ def fit_base(mi: ModelInputs, name: str, params: dict | None = None):
 
 def _fit_pa(train: DataFrame, params: dict):
     long = train.select("id", F.explode("words").alias("word", "n"))
-    words = long.select("word").distinct()
-    # feature index: word -> dense position (bounded by the vocabulary)
-    index = words.withColumn("idx", (F.row_number().over(Window.orderBy("word")) - 1).cast("int"))
-    index = index.cache()
+    # feature index: word -> dense position, ranked bucket by bucket
+    index = splits.dense_index(long, "word").cache()
     dim = index.count()
     y = train.select("id", F.when(F.col("type") == "reliable", 1.0).otherwise(-1.0).alias("y"))
     rows = PA.sparse_rows(long, index, y)

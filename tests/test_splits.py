@@ -40,3 +40,9 @@ def test_global_position(spark):
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     got = {r.id: r.pos for r in profile.global_position(df, "id", n_buckets=4).collect()}
     assert got == {v: i + 1 for i, v in enumerate(sorted(ids))}
+
+
+def test_dense_index(spark):
+    df = spark.createDataFrame([(w,) for w in ["b", "a", "c", "a", "d"]], "word string")
+    got = {r.word: r.idx for r in splits.dense_index(df, "word", bucket_digits=1).collect()}
+    assert sorted(got) == ["a", "b", "c", "d"] and sorted(got.values()) == [0, 1, 2, 3]
