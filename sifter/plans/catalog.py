@@ -289,14 +289,15 @@ toks AS (
   SELECT id, type, unnest(""" + C.tokens_sql(C.clean_sql("content")) + """) AS word FROM train
 ),
 terms AS (SELECT type, id, word, CAST(count(*) AS INTEGER) AS n FROM toks GROUP BY type, id, word),
-counts AS (SELECT type, word, count(*) AS n_docs, sum(n) AS n_total FROM terms GROUP BY type, word),
+counts AS (SELECT type, word, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_total FROM terms
+           GROUP BY type, word),
 wide AS (
   SELECT word,
-         coalesce(sum(n_docs) FILTER (WHERE type = 'fake'), 0) AS fake_docs,
-         coalesce(sum(n_total) FILTER (WHERE type = 'fake'), 0) AS fake_total,
-         coalesce(sum(n_docs) FILTER (WHERE type = 'reliable'), 0) AS reliable_docs,
-         coalesce(sum(n_total) FILTER (WHERE type = 'reliable'), 0) AS reliable_total,
-         sum(n_docs) AS freq_docs, sum(n_total) AS freq_total
+         CAST(coalesce(sum(n_docs) FILTER (WHERE type = 'fake'), 0) AS BIGINT) AS fake_docs,
+         CAST(coalesce(sum(n_total) FILTER (WHERE type = 'fake'), 0) AS BIGINT) AS fake_total,
+         CAST(coalesce(sum(n_docs) FILTER (WHERE type = 'reliable'), 0) AS BIGINT) AS reliable_docs,
+         CAST(coalesce(sum(n_total) FILTER (WHERE type = 'reliable'), 0) AS BIGINT) AS reliable_total,
+         CAST(sum(n_docs) AS BIGINT) AS freq_docs, CAST(sum(n_total) AS BIGINT) AS freq_total
   FROM counts GROUP BY word
 )"""
 
@@ -403,7 +404,8 @@ def q_word_table_wide(spark, sf_dir):
 
 
 @register("stem_merge", "WITH " + TRAIN_SQL + """
-SELECT type, left(word, 5) AS word, sum(n_docs) AS n_docs, sum(n_total) AS n_total
+SELECT type, left(word, 5) AS word, CAST(sum(n_docs) AS BIGINT) AS n_docs,
+       CAST(sum(n_total) AS BIGINT) AS n_total
 FROM counts GROUP BY type, left(word, 5)""")
 def q_stem_merge(spark, sf_dir):
     """Stem merge (A2, merge='sum') with ``left(token, 5)`` as the stem
@@ -500,7 +502,8 @@ def q_bow_entropy(spark, sf_dir):
 
 
 @register("bow_size", "WITH " + DOC_TERMS_SQL + """
-SELECT d.doc_id AS id, CAST(count(t.word) AS INTEGER) AS n_words, coalesce(sum(t.n), 0) AS n_tokens
+SELECT d.doc_id AS id, CAST(count(t.word) AS INTEGER) AS n_words,
+       CAST(coalesce(sum(t.n), 0) AS BIGINT) AS n_tokens
 FROM documents d LEFT JOIN dterms t ON d.doc_id = t.id GROUP BY d.doc_id""")
 def q_bow_size(spark, sf_dir):
     """Distinct words (F11) and tokens per article; empty articles get an
@@ -525,7 +528,7 @@ def q_add_feature(spark, sf_dir):
 
 
 @register("top_words", "WITH " + DOC_TERMS_SQL + """
-SELECT word, sum(n) AS total FROM dterms GROUP BY word ORDER BY total DESC, word LIMIT 30""")
+SELECT word, CAST(sum(n) AS BIGINT) AS total FROM dterms GROUP BY word ORDER BY total DESC, word LIMIT 30""")
 def q_top_words(spark, sf_dir):
     """Top 30 words over all bags."""
     return V.top_words(FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False), 30)
@@ -559,7 +562,7 @@ TOKS_EXPR = C.tokens_sql(C.clean_sql("content"))
 
 SUMMARY_SQL = TRAIN_SQL + cut_sql(0.5, 0.05) + """,
 summary AS (
-  SELECT t.id, t.domain, t.orig_type, t.type, t.split, length(t.content) AS content_len,
+  SELECT t.id, t.domain, t.orig_type, t.type, t.split, CAST(length(t.content) AS INTEGER) AS content_len,
          CASE WHEN len(tk.toks) > 0 THEN list_avg(list_transform(tk.toks, lambda x: length(x))) END
            AS mean_word_len,
          CASE WHEN len(tk.toks) > 0
@@ -573,7 +576,7 @@ vterms AS (SELECT id, word, n FROM terms WHERE word IN (SELECT word FROM vocab))
 @register("article_summary", "WITH " + SUMMARY_SQL + """
 SELECT s.id, s.domain, s.orig_type, s.type, s.split, s.content_len,
        round(s.mean_word_len, 6) AS mean_word_len, round(s.median_word_len, 6) AS median_word_len,
-       CAST(count(v.word) AS INTEGER) AS n_words, coalesce(sum(v.n), 0) AS n_tokens
+       CAST(count(v.word) AS INTEGER) AS n_words, CAST(coalesce(sum(v.n), 0) AS BIGINT) AS n_tokens
 FROM summary s LEFT JOIN vterms v ON s.id = v.id
 GROUP BY ALL""")
 def q_article_summary(spark, sf_dir):
@@ -704,7 +707,7 @@ CUTOFFS = (100, 200, 300, 350)
 
 @register("label_prefix_ratio", "WITH " + KEPT_SQL + """,
 pos AS (SELECT type, row_number() OVER (ORDER BY id) AS pos FROM kept),
-c AS (SELECT unnest([""" + ", ".join(map(str, CUTOFFS)) + """]) AS first_n)
+c AS (SELECT CAST(unnest([""" + ", ".join(map(str, CUTOFFS)) + """]) AS BIGINT) AS first_n)
 SELECT c.first_n, count(*) FILTER (WHERE p.type = 'fake') AS fakes,
        count(*) FILTER (WHERE p.type = 'reliable') AS reals,
        round(CASE WHEN count(*) FILTER (WHERE p.type = 'reliable') > 0 THEN
