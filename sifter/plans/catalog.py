@@ -757,16 +757,16 @@ scores AS (
 )"""
 
 
-def fitted_lexicon(spark, sf_dir):
-    vocab = V.cut(train_wide(spark, sf_dir), 0.5, 0.05)
+def fitted_lexicon(spark, sf_dir, stem=False):
+    vocab = V.cut(train_wide(spark, sf_dir, stem), 0.5, 0.05)
     return LX.fit_lexicon(vocab, train_count(spark, sf_dir))
 
 
-def lexicon_scored(spark, sf_dir):
+def lexicon_scored(spark, sf_dir, stem=False):
     df = deduped_split_corpus(spark, sf_dir)
     rows = df.filter(F.col("split").isin(PLAN.test, PLAN.val)).select("id", "type", "split", "content")
-    long = FE.terms(rows, ("id",), stem=False)
-    return LX.score_lexicon(long, fitted_lexicon(spark, sf_dir), rows.drop("content"))
+    long = FE.terms(rows, ("id",), stem=stem)
+    return LX.score_lexicon(long, fitted_lexicon(spark, sf_dir, stem), rows.drop("content"))
 
 
 @register("lexicon_model", "WITH " + LEX_SQL + """
@@ -1200,3 +1200,14 @@ def q_whole_run_metrics(spark, sf_dir):
         spark, tables.corpus(spark, sf_dir), cfg,
         narrow=tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest),
         statements=tables.statements(spark, sf_dir))
+
+
+
+@register("lexicon_scores_stemmed")
+def q_lexicon_scores_stemmed(spark, sf_dir):
+    """The lexicon model as the reference runs it (A6-A12 on stems): a
+    stemmed, cut vocabulary over all training splits, scoring stemmed
+    validation and test bags, evaluated in one pass (M14)."""
+    s = lexicon_scored(spark, sf_dir, stem=True).withColumn(
+        "dataset", F.when(F.col("split") == PLAN.test, "test").otherwise("validation"))
+    return metric_columns(EV.evaluate(s, "score", "type", ["dataset"]), ["dataset"])
