@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe
+from sifter.llm import bpe, mixing
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@register("op6_fair_queueing", mixing.SQL)
+def op6_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
