@@ -117,8 +117,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         range_ = F.least(F.floor(finish * RANGES), F.lit(RANGES * RANGE_END))
         fits = range_ < cut[0]
         if last:
-            here = F.struct(finish, F.col("src"), F.col("key"), F.col("size"))
-            fits |= (range_ == cut[0]) & (here <= F.struct(*[F.lit(x) for x in last]))
+            here = F.struct(finish.alias("finish"), "src", "key", "size")
+            end = F.struct(*[F.lit(x).cast(entries.schema[c].dataType).alias(c) for c, x in zip(place, last, strict=True)])
+            fits |= (range_ == cut[0]) & (here <= end)
         return fits.cast("int")
 
     copies = sum((is_in(a) for a in range(repeats)), F.lit(0))
