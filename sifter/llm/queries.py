@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, mixing
+from sifter.llm import bpe, mixing, quality_rules
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality_rules", quality_rules.SQL)
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
