@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, mixing, quality_rules
+from sifter.llm import bpe, mixing, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: The rules that the query's contract names.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow",
+             "net/es/": "block", "net/fr/": "block"}
+
+
+@register("op1_url_trees")
+def op1_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL; the URLs that a rule decides are the
+    labelled ones that train the trees."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.labelled_by_rules(pages, URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model)
