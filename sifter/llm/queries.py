@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, mixing, quality_rules, url_filter
+from sifter.llm import bpe, mixing, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,19 @@ def op1_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     model = url_filter.fit(url_filter.labelled_by_rules(pages, URL_RULES))
     return url_filter.judge(pages, URL_RULES, model)
+
+
+def remainder(id_col: str, parts: int):
+    """The fold that the contracts name: crc32 of the id as text, modulo."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
+
+
+@register("op5_quality_network")
+def op5_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from labels outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = (read_table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1)
+              .select("doc_id", F.col("quality").alias("label")))
+    model = quality_model.fit(docs, labels)
+    return quality_model.score(docs, model).select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
