@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, mixing, quality_model, quality_rules, url_filter
+from sifter.llm import bpe, mixing, pii_crf, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,21 @@ def op5_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model.fit(docs, labels)
     return quality_model.score(docs, model).select(
         "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register("op3_skip_chain")
+def op3_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and digest, and all spans."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii_crf.find(docs, pii_crf.train(docs))
+    written = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def is_kind(kind: str):
+        return lambda s: F.when(s["kind"] == kind, 1)
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.array_compact(F.transform(base, is_kind(k)))).cast("long").alias(f"n_{k}") for k in pii_crf.KINDS],
+        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
