@@ -38,7 +38,7 @@ from sifter.llm.textkit import flat_bytes, slices
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + len(KINDS)  # 0: none
 FEATURES, TEMPLATES = 1 << 12, 5
-ROUNDS, DAMPING, SURE, AGREE, SMOOTH = 8, 0.3, 0.8, 400.0, 0.5
+ROUNDS, DAMPING, SURE, AGREE, SMOOTH = 8, 0.3, 0.8, 2000.0, 0.5
 #: Weight of the chain potentials: neighbours' labels and the features count
 #: the same evidence twice.
 CHAIN = 0.25
@@ -156,7 +156,8 @@ def keys(word: str) -> list[str]:
     if "@" in word:
         local = word.split("@", 1)[0]
         return out + ([local] if len(local) >= LEAST_CHARS else [])
-    return out + ([f"#{digits}"] if len(digits) >= LEAST_DIGITS else [])
+    # alike with or without a country code
+    return out + [f"#{d}" for d in {digits, digits[-9:]} if len(d) >= LEAST_DIGITS]
 
 
 def graph(text: str, found: list[tuple[int, int, int]], failed: list[tuple[int, int]]):
