@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, mixing, pii_crf, quality_model, quality_rules, url_filter
+from sifter.llm import bpe, line_dedup, mixing, pii_crf, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,13 @@ def op3_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *[F.size(F.array_compact(F.transform(base, is_kind(k)))).cast("long").alias(f"n_{k}") for k in pii_crf.KINDS],
         F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+@register("op9_line_alignment")
+def op9_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those deleted, and the digest of what is left."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.size("_cut").cast("long").alias("n_deleted"),
+        F.array_join(F.col("_cut").cast("array<string>"), ",").alias("deleted"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256"))
