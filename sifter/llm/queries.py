@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, line_dedup, mixing, pii_crf, quality_model, quality_rules, url_filter
+from sifter.llm import bpe, line_dedup, mixing, order_minhash, pii_crf, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,12 @@ def op9_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_lines").alias("n_lines"), F.size("_cut").cast("long").alias("n_deleted"),
         F.array_join(F.col("_cut").cast("array<string>"), ",").alias("deleted"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256"))
+
+
+@register("op2_order_minhash")
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return order_minhash.compare_edited(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.col("edited").alias("edited_sha256"),
+        order_minhash.written(F.col("fingerprint")).alias("fingerprint"),
+        order_minhash.written(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
