@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, line_dedup, mixing, order_minhash, pii_crf, quality_model, quality_rules, url_filter
+from sifter.llm import bpe, line_dedup, mixing, ngram_join, order_minhash, pii_crf, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,9 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.col("edited").alias("edited_sha256"),
         order_minhash.written(F.col("fingerprint")).alias("fingerprint"),
         order_minhash.written(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@register("op4_ngram_join")
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles, component and links of every document at a similarity of 0.9."""
+    return ngram_join.join(read_table(spark, sf_dir, "documents"), 90, 100, k=3)
