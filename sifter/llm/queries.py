@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, line_dedup, mixing, ngram_join, order_minhash, pii_crf, quality_model, quality_rules, url_filter
+from sifter.llm import bpe, line_dedup, lm, mixing, ngram_join, order_minhash, pii_crf, quality_model, quality_rules, url_filter
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,13 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles, component and links of every document at a similarity of 0.9."""
     return ngram_join.join(read_table(spark, sf_dir, "documents"), 90, 100, k=3)
+
+
+@register("op7_deleted_interpolation")
+def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under the model of the training fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm.score(docs, remainder("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score")
