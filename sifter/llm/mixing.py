@@ -128,6 +128,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.when(F.col("size") > 0, F.col("size") * copies).otherwise(0).cast("long").alias("taken"))
 
 
+
+def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: a document that is taken
+    twice is there twice, one that isn't taken not at all.  Rows equal in id
+    and text are one document that is taken as often as all of them."""
+    keyed = docs.withColumn("_doc", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")))
+    taken = (mix(keyed, "_doc", text_col, source_col, **options).filter("taken > 0")
+             .groupBy("_doc").agg(F.sum(F.expr("taken div size")).alias("_times")))
+    return (keyed.join(taken, "_doc").dropDuplicates(["_doc"])
+            .withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+            .select(*docs.columns))
+
+
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5('mix-' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
