@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def document(id_col: str, text_col: str) -> Column:
+    """(id, key) that tells documents apart and orders them: by id, rows that
+    share an id by a hash of their texts.
+
+    ``key`` is nullable like any column that is read back, so that a join
+    with a stage table needs no cast and keeps the partitioning.
+    """
+    key = F.nullif(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(-(1 << 63)))
+    return F.struct(F.col(id_col).alias("id"), key.alias("key"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once.
 

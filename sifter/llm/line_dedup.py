@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.columns import at, let, split_words, upto
+from sifter.llm.columns import at, document, let, split_words, upto
 
 #: Words of a line that counts as shared content.
 LEAST_WORDS = 5
@@ -74,15 +74,11 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cuts, pa.list_(pa.int32()))], ["doc", "cut"])
 
 
-def _document(id_col: str, text_col: str):
-    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"))
-
-
 def shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc, h, g, at, first, first_at): a line that a document shares with an
     earlier one, by its hashes; its positions in both."""
-    lines = (docs.select(_document(id_col, text_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)))
+    lines = (docs.select(document(id_col, text_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)))
              .filter(F.size(split_words(F.col("col"))) >= least_words)
              .select("doc", F.col("pos").alias("at"), F.xxhash64("col").alias("h"), F.hash("col").alias("g"))
              .groupBy("doc", "h", "g").agg(F.sort_array(F.collect_set("at")).alias("at")))
@@ -105,7 +101,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           least_words: int = LEAST_WORDS) -> DataFrame:
     """All columns with the text that is left, and (n_lines, cut): lines
     before, positions of the deleted ones."""
-    keyed = docs.withColumn("_doc", _document(id_col, text_col))
+    keyed = docs.withColumn("_doc", document(id_col, text_col))
     cut = cuts(docs, id_col, text_col, least_words).withColumnsRenamed({"doc": "_doc", "cut": "_cut"})
     joined = keyed.join(cut, "_doc", "left").withColumn(
         "_cut", F.coalesce("_cut", F.array().cast("array<int>")))

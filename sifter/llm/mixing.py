@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sifter.llm.columns import document
 from sifter.llm.stage import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -134,7 +135,7 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The rows of ``docs`` as the mix takes them: a document that is taken
     twice is there twice, one that isn't taken not at all.  Rows equal in id
     and text are one document that is taken as often as all of them."""
-    keyed = docs.withColumn("_doc", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")))
+    keyed = docs.withColumn("_doc", document(id_col, text_col))
     taken = (mix(keyed, "_doc", text_col, source_col, **options).filter("taken > 0")
              .groupBy("_doc").agg(F.sum(F.expr("taken div size")).alias("_times")))
     return (keyed.join(taken, "_doc").dropDuplicates(["_doc"])

@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.columns import (POSITION_BITS, at, let, packed, position, same_bits, split_words, upto,
-                                window_hashes)
+from sifter.llm.columns import (POSITION_BITS, at, document, let, packed, position, same_bits, split_words,
+                                upto, window_hashes)
 from sifter.llm.stage import staged
 
 #: Words of a k-mer, k-mers of an entry, bits of a bin's number.
@@ -122,7 +122,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (id, n_chars, edited, fingerprint, edited_fingerprint, near_edited,
     near_next); ``edited`` is a SHA-256, fingerprints are arrays."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("key")).alias("doc"), text.alias("text"))
+    base = docs.select(document(id_col, text_col).alias("doc"), text.alias("text"))
     links = staged(successors(base.select("doc", F.char_length("text").alias("n"))), "omh-links")
     texts = base.groupBy("doc").agg(F.any_value("text").alias("text"))
     # what each document gives to the one before it
