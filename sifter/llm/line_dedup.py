@@ -9,7 +9,7 @@ apart by its occurrence number, are put in the later document's order and
 the longest run of them that ascends in the earlier one is the
 alignment.  The aligned blocks are deleted from the later document.
 
-Scale: the text is read twice and shuffled once, when the deletions meet
+Scale: the text is read three times and shuffled once, when the deletions meet
 it; everything else moves line hashes.  The first document of a line comes
 from a hash aggregate with partial results in each task, and the joins on
 line hashes are sort-merge joins that adaptive execution may split at a
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.columns import at, document, let, split_words, upto
+from sifter.llm.stage import staged
 
 #: Words of a line that counts as shared content.
 LEAST_WORDS = 5
@@ -82,9 +83,11 @@ def shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .filter(F.size(split_words(F.col("col"))) >= least_words)
              .select("doc", F.col("pos").alias("at"), F.xxhash64("col").alias("h"), F.hash("col").alias("g"))
              .groupBy("doc", "h", "g").agg(F.sort_array(F.collect_set("at")).alias("at")))
-    first = (lines.groupBy("h", "g").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
-             .filter(F.col("first.doc") != F.col("last"))
-             .select("h", "g", F.col("first.doc").alias("first"), F.col("first.at").alias("first_at")))
+    # a stage table: a join of two plain exchanges can be split at a hot line
+    first = staged(
+        lines.groupBy("h", "g").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
+        .filter(F.col("first.doc") != F.col("last"))
+        .select("h", "g", F.col("first.doc").alias("first"), F.col("first.at").alias("first_at")), "line-firsts")
     return lines.join(first, ["h", "g"]).filter(F.col("doc") != F.col("first"))
 
 
