@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Space and \x09-\x0D, the characters between words.
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``docs`` has."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
+
+
 def document(id_col: str, text_col: str) -> Column:
     """(id, key) that tells documents apart and orders them: by id, rows that
     share an id by a hash of their texts.

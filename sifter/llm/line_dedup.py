@@ -102,15 +102,15 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           least_words: int = LEAST_WORDS) -> DataFrame:
-    """All columns with the text that is left, and (n_lines, cut): lines
-    before, positions of the deleted ones."""
-    keyed = docs.withColumn("_doc", document(id_col, text_col))
-    cut = cuts(docs, id_col, text_col, least_words).withColumnsRenamed({"doc": "_doc", "cut": "_cut"})
-    joined = keyed.join(cut, "_doc", "left").withColumn(
-        "_cut", F.coalesce("_cut", F.array().cast("array<int>")))
-    text = F.col(text_col)
-    left = let(F.split(text, "\n", -1), lambda lines: F.array_join(
-        F.transform(F.array_except(upto(F.size(lines)), F.col("_cut")), lambda i: at(lines, i)), "\n"))
+    """(row, n_lines, cut): a struct of all columns with the text that is left,
+    the lines before, and the positions of the deleted ones."""
+    found = cuts(docs, id_col, text_col, least_words)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), document(id_col, text_col).alias("doc"))
+    joined = rows.join(found, "doc", "left").withColumn("cut", F.coalesce("cut", F.array().cast("array<int>")))
+    text = F.col("row")[text_col]
+    lines = F.split(text, "\n", -1)
+    left = F.when(F.size("cut") > 0, let(lines, lambda x: F.array_join(
+        F.transform(F.array_except(upto(F.size(x)), F.col("cut")), lambda i: at(x, i)), "\n"))).otherwise(text)
     return joined.select(
-        *[F.when(F.size("_cut") > 0, left).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("_n_lines"), F.col("_cut"))
+        F.struct(*[left.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]).alias("row"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), "cut")

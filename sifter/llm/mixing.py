@@ -135,12 +135,14 @@ def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The rows of ``docs`` as the mix takes them: a document that is taken
     twice is there twice, one that isn't taken not at all.  Rows equal in id
     and text are one document that is taken as often as all of them."""
-    keyed = docs.withColumn("_doc", document(id_col, text_col))
-    taken = (mix(keyed, "_doc", text_col, source_col, **options).filter("taken > 0")
-             .groupBy("_doc").agg(F.sum(F.expr("taken div size")).alias("_times")))
-    return (keyed.join(taken, "_doc").dropDuplicates(["_doc"])
-            .withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
-            .select(*docs.columns))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       document(id_col, text_col).alias("doc"), F.col(text_col).alias("text"),
+                       F.col(source_col).alias("source"))
+    taken = (mix(rows, "doc", "text", "source", **options).filter("taken > 0")
+             .groupBy("doc").agg(F.sum(F.expr("taken div size")).alias("times")))
+    return (rows.select("row", "doc").join(taken, "doc").dropDuplicates(["doc"])
+            .withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+            .select("row.*"))
 
 
 SQL = r"""

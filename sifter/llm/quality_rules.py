@@ -136,6 +136,12 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "tex
             .withColumn("kept", ~F.col("base_failed") & compile_rules(rules, {c: F.col(c) for c in measured.columns})))
 
 
+def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    return judge(rows, rules, "text", ("row",)).filter("kept").select("row.*")
+
+
 _STOP_LIST = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
 SQL = rf"""
