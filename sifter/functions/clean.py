@@ -16,6 +16,7 @@ the identical chain as DuckDB SQL.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,14 +29,12 @@ PLACEHOLDERS = {"url": "<URL>", "email": "<EMAIL>", "phone": "<PHONE>",
 # Placeholders of the reference's notebook variant.
 VISIBLE_PLACEHOLDERS = {"url": "<URL>", "email": "<EMAIL>", "phone": "<PHONE>",
                         "number": "<NUM>", "digit": "0", "currency": "<CUR>"}
-# Latin letters folded to ASCII, one for one (``translate``).
-FOLD_FROM = ("ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖØòóôõöøÙÚÛÜùúûüÝýÿ"
-             "ĀāĂăĄąĆćČčĎďĒēĘęĚěĞğĪīİıŁłŃńŇňŌōŐőŘřŚśŞşŠšŢţŤťŪūŮůŰűŹźŻżŽž")
-FOLD_TO = ("AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOOooooooUUUUuuuuYyy"
-           "AaAaAaCcCcDdEeEeEeGgIiIiLlNnNnOoOoRrSsSsSsTtTtUuUuUuZzZzZz")
-# Letters folded to two letters (``replace``).
-FOLD_MULTI = (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"),
-              ("ð", "d"), ("Ð", "D"), ("þ", "th"), ("Þ", "Th"))
+# Letters that have no decomposition, folded one for one.
+FOLD_STROKES = (("Ø", "O"), ("ø", "o"), ("Đ", "D"), ("đ", "d"), ("Ł", "L"), ("ł", "l"), ("Ħ", "H"), ("ħ", "h"),
+                ("Ŧ", "T"), ("ŧ", "t"), ("ı", "i"), ("Ð", "D"), ("ð", "d"))
+# Letters folded to several letters (``replace``).
+FOLD_MULTI = (("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"),
+              ("þ", "th"), ("Þ", "Th"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"))
 CURRENCY_RE = "[$¢£¤¥֏؋৲৳৻૱௹฿៛₠-₿﷼﹩＄￠￡￥￦]"
 URL_RE = r"(?:https?://|ftp://|www\.)[^ \t\n\r\f<>\"]+"
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -49,7 +48,18 @@ NON_ASCII_RE = r"[^\x00-\x7F]+"
 SPACE_RE = r"[ \t\n\r\f\x0B]+"
 # --- end of fixed values -------------------------------------------------
 
-assert len(FOLD_FROM) == len(FOLD_TO)
+def _decomposed() -> dict[str, str]:
+    """Letters of the Latin blocks whose canonical decomposition is an ASCII
+    letter with marks, with that letter."""
+    blocks = (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))
+    bases = {chr(c): "".join(x for x in unicodedata.normalize("NFD", chr(c)) if not unicodedata.combining(x))
+             for c in blocks}
+    return {c: b for c, b in bases.items() if len(b) == 1 and b.isascii() and b.isalpha()}
+
+
+# Letters folded one for one (``translate``).
+_FOLD = _decomposed() | dict(FOLD_STROKES)
+FOLD_FROM, FOLD_TO = "".join(_FOLD), "".join(_FOLD.values())
 
 
 @dataclass(frozen=True)

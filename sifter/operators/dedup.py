@@ -85,6 +85,14 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None, id_col: st
             .drop("_first"))
 
 
+def share_removed_without(flagged: DataFrame, label: str = "reliable", by: str = "orig_type") -> DataFrame:
+    """One row: articles, duplicates and share removed of all labels but one."""
+    return (flagged.filter(F.col(by).isNull() | (F.col(by) != label))
+            .agg(F.count(F.lit(1)).alias("source_articles"), F.count_if(F.col("duplicate")).alias("duplicates"))
+            .withColumn("percentage_removed", F.round(
+                F.when(F.col("source_articles") > 0, F.col("duplicates") / F.col("source_articles")), 6)))
+
+
 def duplicate_distribution(flagged: DataFrame, by: str = "orig_type") -> DataFrame:
     """Per source label: articles, duplicates, remaining, share removed.
 

@@ -4,8 +4,10 @@ iterative parameter mixing (McDonald, Hall and Mann 2010).
 Each epoch broadcasts the current weights; every partition runs the
 online PA-I updates over its own rows in a fixed, seeded order
 (``mapInPandas``, Arrow batches) and emits its weights scaled by its row
-count as sparse (index, value) rows; a ``groupBy(index).sum`` over all
-partitions gives the mixed weights.  The weight vector -- the model, as
+count as sparse (index, value) rows; a ``groupBy(index)`` adds up the
+shards' values in the order of the shards.  The number of shards is a
+parameter of the model, so neither the order nor the sums depend on the
+cluster.  The weight vector -- the model, as
 long as the vocabulary -- is the only thing that reaches the driver.
 Scoring is a join of the long bag with the weight table and a sum per
 article, all JVM-side.
@@ -23,7 +25,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.operators.joins import sized_broadcast
 
 INTERCEPT = -1  # index of the intercept in the emitted rows
 
@@ -47,11 +48,12 @@ def sparse_rows(long: DataFrame, index: DataFrame, labels: DataFrame | None = No
 class PAModel:
     weights: DataFrame  # (idx, w)
     bias: float
+    shards: int = 16
 
     def decision(self, long: DataFrame, index: DataFrame, articles: DataFrame,
                  id_col: str = "id") -> DataFrame:
         """Margin w.x + b per article (articles without known words get b)."""
-        m = (long.join(sized_broadcast(index), "word").join(sized_broadcast(self.weights), "idx")
+        m = (long.join(index, "word").join(self.weights, "idx")
              .groupBy(id_col).agg(F.sum(F.col("n") * F.col("w")).alias("_m")))
         return (articles.join(m, id_col, "left")
                 .withColumn("margin", F.coalesce("_m", F.lit(0.0)) + F.lit(self.bias)).drop("_m"))
@@ -63,65 +65,74 @@ class PAModel:
 
 
 def _epoch_fn(w: np.ndarray, b: float, C: float, seed: int):
+    """One shard's pass: rows in a seeded order within each Arrow batch,
+    batches in order, so a batch at a time is in memory."""
     def run(batches):
-        ws, bs, n, loss = w.copy(), b, 0, 0.0
-        frames = list(batches)
-        if frames:
-            pdf = pd.concat(frames, ignore_index=True)
-            order = np.random.default_rng(seed).permutation(len(pdf))
-            for i in order:
-                idx = np.asarray(pdf["idx"].iat[i], dtype=np.int64)
-                val = np.asarray(pdf["val"].iat[i], dtype=np.float64)
-                y = float(pdf["y"].iat[i])
-                margin = float(ws[idx] @ val) + bs if len(idx) else bs
-                hinge = max(0.0, 1.0 - y * margin)
+        ws, bs, n, loss, shard = w.copy(), b, 0, 0.0, 0
+        for k, pdf in enumerate(batches):
+            idx_col, val_col, y_col = pdf["idx"].to_numpy(), pdf["val"].to_numpy(), pdf["y"].to_numpy(float)
+            for i in np.random.default_rng((seed, k)).permutation(len(pdf)):
+                idx, val, y = np.asarray(idx_col[i], np.int64), np.asarray(val_col[i], float), y_col[i]
+                hinge = max(0.0, 1.0 - y * (float(ws[idx] @ val) + bs))
                 loss += hinge
                 if hinge > 0.0:
                     tau = min(C, hinge / (float(val @ val) + 1.0))
                     ws[idx] += tau * y * val
                     bs += tau * y
-                n += 1
+            n += len(pdf)
+            if len(pdf):
+                shard = int(pdf["shard"].iat[0])
         if n:
             nz = np.nonzero(ws)[0]
             yield pd.DataFrame({"idx": np.concatenate([nz, [INTERCEPT]]).astype(np.int64),
+                                "shard": np.full(len(nz) + 1, shard, dtype=np.int32),
                                 "s": np.concatenate([ws[nz] * n, [bs * n]]),
                                 "n": np.full(len(nz) + 1, n, dtype=np.int64),
                                 "loss": np.full(len(nz) + 1, loss)})
     return run
 
 
+def _in_order(value: str):
+    """Sum over the shards in their order (a handful of values per index)."""
+    pairs = F.sort_array(F.collect_list(F.struct("shard", F.col(value).cast("double").alias("v"))))
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + p["v"])
+
+
 class PassiveAggressive:
-    def __init__(self, C: float = 1.0, epochs: int = 5, tol: float = 1e-3, seed: int = 42,
-                 partitions: int | None = None):
-        self.C, self.epochs, self.tol, self.seed, self.partitions = C, epochs, tol, seed, partitions
+    """``epochs``: at most so many; training stops once the mean loss has not
+    fallen ``tol`` below its least value for ``patience`` epochs in a row.
+    ``shards``: see the module."""
+
+    def __init__(self, C: float = 1.0, epochs: int = 1000, tol: float = 1e-3, seed: int = 42,
+                 shards: int = 16, patience: int = 5):
+        self.C, self.epochs, self.tol, self.seed, self.shards = C, epochs, tol, seed, shards
+        self.patience = patience
 
     def fit(self, rows: DataFrame, dim: int) -> PAModel:
-        """``rows``: (id, y, idx, val).  Partitioning is fixed by a hash
-        of the id so that epochs and reruns see the same shards."""
+        """``rows``: (id, y, idx, val), dealt to shards by id."""
         spark = rows.sparkSession
-        k = self.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        data = rows.repartition(k, "id").sortWithinPartitions("id").cache()
-        w, b, prev = np.zeros(dim), 0.0, None
+        data = (rows.repartition(self.shards, "id").withColumn("shard", F.spark_partition_id())
+                .sortWithinPartitions("id").select("y", "idx", "val", "shard").cache())
+        w, b, best, waited = np.zeros(dim), 0.0, np.inf, 0
         for epoch in range(self.epochs):
-            fn = _epoch_fn(w, b, self.C, self.seed + epoch)
-            parts = data.select("y", "idx", "val").mapInPandas(
-                fn, "idx long, s double, n long, loss double")
-            total = parts.filter(F.col("idx") == INTERCEPT).agg(
-                F.sum("n").alias("n"), F.sum("loss").alias("loss")).first()
-            n_all = total["n"] or 1
-            mixed = parts.groupBy("idx").agg((F.sum("s") / F.lit(float(n_all))).alias("w"))
+            mixed = (data.mapInPandas(_epoch_fn(w, b, self.C, self.seed + epoch),
+                                      "idx long, shard int, s double, n long, loss double")
+                     .groupBy("idx").agg(_in_order("s").alias("s"), F.sum("n").alias("n"), _in_order("loss").alias("loss"))
+                     .toPandas())  # a row for each weight of the model
+            at_bias = mixed["idx"] == INTERCEPT
+            if not at_bias.any():  # no training rows
+                break
+            bias = mixed[at_bias].iloc[0]
             w = np.zeros(dim)
-            for r in mixed.toLocalIterator():
-                if r["idx"] == INTERCEPT:
-                    b = r["w"]
-                else:
-                    w[r["idx"]] = r["w"]
-            loss = (total["loss"] or 0.0) / n_all
-            if prev is not None and abs(prev - loss) < self.tol:
+            rest = mixed[~at_bias]
+            w[rest["idx"].to_numpy()] = rest["s"].to_numpy() / bias["n"]
+            b, loss = bias["s"] / bias["n"], bias["loss"] / bias["n"]
+            waited = waited + 1 if loss > best - self.tol else 0
+            best = min(best, loss)
+            if waited >= self.patience:
                 break
-            prev = loss
         data.unpersist()
         nz = np.nonzero(w)[0]
         weights = spark.createDataFrame(
             pd.DataFrame({"idx": nz.astype(np.int64), "w": w[nz]}), "idx long, w double")
-        return PAModel(weights, float(b))
+        return PAModel(weights, float(b), self.shards)

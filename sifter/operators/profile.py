@@ -1,12 +1,9 @@
 """Distribution summaries: box statistics, label balance, label ratio in
 the first N rows, null counts.
 
-Box statistics use one aggregate for the quartiles (exact ``percentile``
-keeps a value->count map per group, so its memory follows the number of
-distinct values, not rows; ``approx=True`` switches to the mergeable
-``percentile_approx`` sketch), then one more aggregate for whiskers and
-mean after joining the per-group quartiles back -- a join on the group
-key against one row per group, broadcast under a row bound.
+Box statistics take exact quartiles from the few rows between approximate
+ones, then one more aggregate for whiskers and mean after joining the
+quartiles back -- a join on the group key against one row per group.
 """
 
 from __future__ import annotations
@@ -17,31 +14,57 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.operators.joins import sized_broadcast
 
 
-def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0,
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
+#: Ranks (as shares) on either side of a quantile that are looked at row by
+#: row, the approximate quantiles' accuracy, and rows from which on it holds.
+MARGIN, ACCURACY, FEW = 0.001, 10_000, 2000
+
+
+def exact_quantiles(df: DataFrame, value: str, by: str, probs: Sequence[float]) -> DataFrame:
+    """(by, i, q): the interpolated quantile ``probs[i]`` of each group.
+
+    Mergeable approximate quantiles bracket each rank; the rows below the
+    bracket are counted, and only distinct values inside it (a share of
+    about ``2 * MARGIN``) are ranked, so no group's values meet in a task.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(by, v.alias("_v")).filter("_v IS NOT NULL")
+    edges = rows.groupBy(by).agg(
+        F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+        F.percentile_approx("_v", [max(p - MARGIN, 0.0) for p in probs], ACCURACY).alias("a"),
+        F.percentile_approx("_v", [min(p + MARGIN, 1.0) for p in probs], ACCURACY).alias("b"))
+    few = F.col("n") < FEW
+    cases = edges.select(by, "n", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.when(few, F.col("lo")).otherwise(F.col("a")[i]).alias("a"),
+        F.when(few, F.col("hi")).otherwise(F.col("b")[i]).alias("b"),
+        (F.lit(p) * (F.col("n") - 1)).alias("rank")) for i, p in enumerate(probs)])).alias("c")).select(by, "c.*")
+    # values below the bracket count together, those inside one by one
+    seen = (rows.join(cases, by).filter("_v <= b")
+            .withColumn("_v", F.when(F.col("_v") >= F.col("a"), F.col("_v")))
+            .groupBy(by, "i", "rank", "_v").agg(F.count(F.lit(1)).alias("k")))
+    upto = F.sum("k").over(Window.partitionBy(by, "i").orderBy(F.asc_nulls_first("_v")))
+    at = seen.withColumn("upto", upto).filter("_v IS NOT NULL")
+    value_at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("_v")))
+    low, high = value_at(F.floor("rank")), value_at(F.ceil("rank"))
+    return (at.groupBy(by, "i", "rank").agg(low.alias("x"), high.alias("y"))
+            .select(by, "i", (F.col("x") + (F.col("y") - F.col("x")) * (F.col("rank") - F.floor("rank"))).alias("q")))
+
+
+def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0) -> DataFrame:
     """Per group: n, mean, q1, median, q3, whisker_low, whisker_high
     (most extreme values within ``whis`` * IQR of the box)."""
     v = F.col(value).cast("double")
-    if approx:
-        qs = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
-    else:
-        qs = F.percentile(v, [0.25, 0.5, 0.75])
-    quart = (df.groupBy(by).agg(qs.alias("_q"), F.count(v).alias("n"), F.avg(v).alias("mean"))
-             .select(by, "n", "mean", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                     F.col("_q")[2].alias("q3")))
+    q = exact_quantiles(df, value, by, (0.25, 0.5, 0.75))
+    pick = lambda i: F.max(F.when(F.col("i") == i, F.col("q")))
+    quart = q.groupBy(by).agg(pick(0).alias("q1"), pick(1).alias("median"), pick(2).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
-    # one row per group: computed once, then broadcast under a row bound,
-    # so a group holding most rows never becomes one join partition
-    quart = quart.persist()
-    j = df.select(by, v.alias("_v")).join(sized_broadcast(quart.select(by, "q1", "q3")), by)
-    whisk = j.groupBy(by).agg(
+    return (df.select(by, v.alias("_v")).join(quart, by).groupBy(by, "q1", "median", "q3").agg(
+        F.count("_v").alias("n"), F.avg("_v").alias("mean"),
         F.min(F.when(F.col("_v") >= lo_fence, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(F.col("_v") <= hi_fence, F.col("_v"))).alias("whisker_high"))
-    return quart.join(whisk, by)
+        .select(by, "n", "mean", "q1", "median", "q3", "whisker_low", "whisker_high"))
 
 
 def label_balance(df: DataFrame, label: str = "type") -> DataFrame:
@@ -56,15 +79,20 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def global_position(df: DataFrame, order_col: str, n_buckets: int = 1024,
-                    rel_error: float = 0.001, out_col: str = "pos") -> DataFrame:
+#: Rows that a range of ``global_position`` holds, about.
+RANGE_ROWS = 1_000_000
+
+
+def global_position(df: DataFrame, order_col: str, out_col: str = "pos",
+                    range_rows: int = RANGE_ROWS) -> DataFrame:
     """1-based position of each row in ``order_col`` order (unique values),
     without sorting everything in one task: approximate quantiles cut the
     key range into buckets of near-equal size (a bounded list of cut
     points), a per-bucket count table gives offsets, and a window inside
     each bucket gives the local rank."""
+    n_buckets = 1 + df.count() // range_rows
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.approxQuantile(order_col, probs, rel_error)))
+    cuts = sorted(set(df.approxQuantile(order_col, probs, 0.1 / n_buckets))) if probs else [0.0]
     splits_ = [-float("inf")] + cuts + [float("inf")]
     b = Bucketizer(splits=splits_, inputCol="_key", outputCol="_bucket")
     keyed = b.transform(df.withColumn("_key", F.col(order_col).cast("double")))
@@ -78,12 +106,14 @@ def global_position(df: DataFrame, order_col: str, n_buckets: int = 1024,
             .drop("_key", "_bucket", "_off"))
 
 
-def label_prefix_ratio(df: DataFrame, cutoffs: Sequence[int], order_col: str = "id",
+def label_prefix_ratio(df: DataFrame, shares: Sequence[float], order_col: str = "id",
                        label: str = "type") -> DataFrame:
     """fake/reliable ratio among the first N rows (in ``order_col``
-    order) for each N in ``cutoffs``: one positional pass, counts per
-    cut interval, then a running sum over the (few) intervals."""
-    cuts = sorted(set(int(c) for c in cutoffs))
+    order) for each share of the rows (N: the share of their number, rounded
+    down): one positional pass, counts per cut interval, then a running
+    sum over the (few) intervals."""
+    n_rows = df.count()
+    cuts = sorted({int(s * n_rows) for s in shares})
     pos = global_position(df.select(order_col, label), order_col)
     interval = F.lit(None).cast("int")
     for i, c in reversed(list(enumerate(cuts))):

@@ -38,7 +38,7 @@ def assign_splits(df: DataFrame, k: int = 10, seed: int = 42, balanced: bool = T
     for it."""
     if not balanced:
         return df.withColumn(out_col, (F.floor(hash_unit(id_col, seed) * k) + 1).cast("int"))
-    src = df.select(id_col) if ids is None else ids.select(id_col)
+    src = (df if ids is None else ids).select(id_col).distinct()  # a repeated id has one split
     return df.join(split_ids(src, k, seed, id_col, bucket_digits, out_col), id_col)
 
 

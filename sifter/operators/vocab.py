@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.operators.joins import sized_broadcast
 from sifter.session import checkpoint
 
 LABEL_VALUES = ("fake", "reliable")
@@ -57,7 +56,7 @@ def merge_stems(form_counts: DataFrame, stems: DataFrame, merge: str = "sum",
     (Stemming before counting, ``merge='exact'``, is ``terms(stem=True)``
     followed by ``word_counts``; an article with two forms counts once.)
     """
-    joined = form_counts.join(sized_broadcast(stems.select("word", "stem")), "word")
+    joined = form_counts.join(stems.select("word", "stem"), "word")
     if merge == "sum":
         return (joined.groupBy("type", F.col("stem").alias("word"))
                 .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_total").alias("n_total")))
@@ -68,7 +67,7 @@ def merge_stems(form_counts: DataFrame, stems: DataFrame, merge: str = "sum",
     # the first form of each stem (ties broken by the form itself)
     first = (stems.join(first_seen, "word")
              .groupBy("stem").agg(F.min_by("word", F.struct("first_pos", "word")).alias("_first")))
-    j = joined.join(sized_broadcast(first), "stem")
+    j = joined.join(first, "stem")
     own = F.col("word") == F.col("_first")
     return (j.groupBy("type", F.col("stem").alias("word"))
             .agg(F.coalesce(F.max(F.when(own, F.col("n_docs"))), F.lit(0)).alias("n_docs"),

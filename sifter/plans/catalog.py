@@ -618,7 +618,7 @@ FROM evalrows e JOIN eterms t ON e.id = t.id WHERE e.split = 2""")
 def q_eval_set(spark, sf_dir):
     """Validation set (C3, F6): unfiltered bags of split 2, long form."""
     df = deduped_split_corpus(spark, sf_dir)
-    ev = SU.prepare_eval(df, df.select("id", "split"), PLAN.val, stem=False)
+    ev = SU.prepare_eval(df, PLAN.val, stem=False)
     return ev.select("id", "orig_type", "type", F.explode("words").alias("word", "n"))
 
 
@@ -702,12 +702,13 @@ def q_label_balance(spark, sf_dir):
     return b.withColumn("share", F.round("share", 6))
 
 
-CUTOFFS = (100, 200, 300, 350)
+SHARES = (0.25, 0.5, 0.75, 1.0)
 
 
 @register("label_prefix_ratio", "WITH " + KEPT_SQL + """,
 pos AS (SELECT type, row_number() OVER (ORDER BY id) AS pos FROM kept),
-c AS (SELECT CAST(unnest([""" + ", ".join(map(str, CUTOFFS)) + """]) AS BIGINT) AS first_n)
+c AS (SELECT DISTINCT CAST(floor(share * (SELECT count(*) FROM kept)) AS BIGINT) AS first_n
+      FROM (SELECT unnest([""" + ", ".join(map(str, SHARES)) + """]) AS share))
 SELECT c.first_n, count(*) FILTER (WHERE p.type = 'fake') AS fakes,
        count(*) FILTER (WHERE p.type = 'reliable') AS reals,
        round(CASE WHEN count(*) FILTER (WHERE p.type = 'reliable') > 0 THEN
@@ -715,8 +716,9 @@ SELECT c.first_n, count(*) FILTER (WHERE p.type = 'fake') AS fakes,
          AS ratio
 FROM c LEFT JOIN pos p ON p.pos <= c.first_n GROUP BY c.first_n""")
 def q_label_prefix_ratio(spark, sf_dir):
-    """Fake/reliable ratio among the first N articles by id."""
-    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir, distribute=False), CUTOFFS)
+    """Fake/reliable ratio among the first quarter, half, three quarters and all
+    of the articles by id (A19)."""
+    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir, distribute=False), SHARES)
     return r.withColumn("ratio", F.round("ratio", 6))
 
 
@@ -850,11 +852,6 @@ def q_evaluate(spark, sf_dir):
 
 # ------------------------------------------------------ step 7-8: classifiers
 
-# small enough for the sf0.01 check; the jobs take the reference's sizes
-QUERY_PARAMS = {"random_forest": {"n_trees": 20, "max_depth": 10},
-                "linear": {"max_iter": 100}, "svm": {"max_iter": 100},
-                "pa": {"epochs": 5}}
-
 
 def _inputs(spark, sf_dir):
     return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=True,
@@ -866,7 +863,7 @@ def _base_query(name):
     def q(spark, sf_dir):
         mi = _inputs(spark, sf_dir)
         target = mi.bags.filter(F.col("trn_split") == 2)
-        return MD.base_scores(mi, name, target, QUERY_PARAMS.get(name)).select(
+        return MD.base_scores(mi, name, target).select(
             "id", "type", F.round("score", 6).alias("score"))
     return q
 
@@ -889,7 +886,7 @@ def q_stacked_scores(spark, sf_dir):
     (models from the registry with their parameters, M13), unioned (U1)
     and pivoted to one column per model (M10, J5)."""
     mi = _inputs(spark, sf_dir)
-    return MD.stacked(mi, params=QUERY_PARAMS)
+    return MD.stacked(mi)
 
 
 @register("meta_predictions")
@@ -898,12 +895,20 @@ def q_meta_predictions(spark, sf_dir):
     validation split (+1 reliable, -1 fake: labels as +-1, F18)."""
     mi = _inputs(spark, sf_dir)
     val = MD.eval_bags(mi, PLAN.val)
-    wides = MD.stacked_many(mi, {"set2": mi.bags.filter(F.col("trn_split") == 2), "val": val},
-                            params=QUERY_PARAMS)
-    asm, meta = STK.fit_meta(wides["set2"], n_trees=20, max_depth=10)
+    wides = MD.stacked_many(mi, {"set2": mi.bags.filter(F.col("trn_split") == 2), "val": val})
+    asm, meta = STK.fit_meta(wides["set2"])
     return STK.score_meta(asm, meta, wides["val"]).select("id", "type", "preds_meta")
 
 
+@register("dups_without_reliable", "WITH " + FLAGGED_SQL + """
+SELECT count(*) AS source_articles, count(*) FILTER (WHERE duplicate) AS duplicates,
+       round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE duplicate) / count(*) END, 6) AS percentage_removed
+FROM flagged WHERE orig_type <> 'reliable'""")
+def q_dups_without_reliable(spark, sf_dir):
+    """Share of duplicates among all labels but the reliable one."""
+    return dedup.share_removed_without(dedup.flag_duplicates(kept_digests(spark, sf_dir)))
+
+
 # ------------------------------------------------------- step 9: file formats
 
 
@@ -940,6 +945,12 @@ def q_literal_map_roundtrip(spark, sf_dir):
 # ------------------------------------------------------------------ streaming
 
 
+def documents_glob(sf_dir: str) -> str:
+    """The documents table for a file stream: a pattern that matches its path
+    alone, since a stream takes a plain path only if it is a folder."""
+    return f"{sf_dir.rstrip('/')}/documents.parque[t]"
+
+
 @register("stream_lexicon_scores", "WITH " + LEX_SQL + """
 SELECT id, type, split, round(score, 6) AS score FROM scores""")
 def q_stream_lexicon_scores(spark, sf_dir):
@@ -951,8 +962,7 @@ def q_stream_lexicon_scores(spark, sf_dir):
     ev = deduped_split_corpus(spark, sf_dir).filter(F.col("split").isin(PLAN.test, PLAN.val)) \
         .select("id", "type", "split")
     schema = tables.read_table(spark, sf_dir, "documents").schema
-    docs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(documents_glob(sf_dir))
     stream = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("content")).join(ev, "id")
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = SS.start_scoring(stream, lex, sink, ckpt, once=True)
@@ -1029,7 +1039,7 @@ def q_model_metrics(spark, sf_dir):
     val = MD.eval_bags(mi, PLAN.val)
     longs = None
     for m in STK.BASE_MODELS:
-        s = MD.base_scores(mi, m, val, QUERY_PARAMS.get(m)).select(
+        s = MD.base_scores(mi, m, val).select(
             "id", "type", F.lit(m).alias("model"), "score")
         longs = s if longs is None else longs.unionByName(s)
     return metric_columns(EV.evaluate(longs, "score", "type", ["model"]), ["model"])
@@ -1087,8 +1097,7 @@ def q_stream_clean_labels(spark, sf_dir):
     to the static labels table, written to a Parquet sink and run to
     completion."""
     schema = tables.read_table(spark, sf_dir, "documents").schema
-    docs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(documents_glob(sf_dir))
     lab = tables.read_table(spark, sf_dir, "labels").select(
         "doc_id", "quality", "toxic", F.lit(True).alias("_has_label"))
     stream = docs.join(lab, "doc_id", "left").select(
@@ -1192,10 +1201,9 @@ def q_whole_run_metrics(spark, sf_dir):
     evaluation sets, lexicon, six base models and the meta model, with
     Parquet between stages, predictions partitioned by model (S12) and
     metrics written as JSON (S14); evaluated on validation, test and the
-    second corpus.  Model sizes as in the model queries."""
+    second corpus."""
     from sifter.plans import jobs
-    cfg = jobs.PipelineConfig(out=scratch_path(spark, "whole-run"), stem=True,
-                              params=QUERY_PARAMS, meta_trees=20, meta_depth=10)
+    cfg = jobs.PipelineConfig(out=scratch_path(spark, "whole-run"), stem=True)
     return jobs.run_pipeline(
         spark, tables.corpus(spark, sf_dir), cfg,
         narrow=tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest),

@@ -64,9 +64,8 @@ def fit_base(mi: ModelInputs, name: str, params: dict | None = None):
     if name == "pa":
         return _fit_pa(train, params)
     cv = CL.fit_vectorizer(train)
-    data = CL.with_label(CL.vectorize(train, cv)).cache()
-    n = data.count()
-    model = CL.fit_model(name, CL.training_partitions(data, n), params, n_train=n)
+    data = CL.sharded(CL.with_label(CL.vectorize(train, cv)), params.get("shards", CL.SHARDS)).cache()
+    model = CL.fit_model(name, data, params, n_train=data.count())
     data.unpersist()
 
     def scorer(df: DataFrame) -> DataFrame:
@@ -81,8 +80,9 @@ def _fit_pa(train: DataFrame, params: dict):
     dim = index.count()
     y = train.select("id", F.when(F.col("type") == "reliable", 1.0).otherwise(-1.0).alias("y"))
     rows = PA.sparse_rows(long, index, y)
-    model = PA.PassiveAggressive(C=params.get("C", 1.0), epochs=params.get("epochs", 5),
-                                 tol=params.get("tol", 1e-3), seed=params.get("seed", 42)).fit(rows, dim)
+    model = PA.PassiveAggressive(C=params.get("C", 1.0), epochs=params.get("epochs", 1000),
+                                 tol=params.get("tol", 1e-3), seed=params.get("seed", 42),
+                                 shards=params.get("shards", CL.SHARDS)).fit(rows, dim)
 
     def scorer(df: DataFrame) -> DataFrame:
         lg = df.select("id", F.explode("words").alias("word", "n"))

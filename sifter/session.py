@@ -3,12 +3,14 @@
 On a cluster the session is built by the launcher; ``get_spark`` is for
 tests, the bench and local runs.  ``checkpoint`` always writes to the
 folder the cluster names in ``spark.checkpoint.dir``; only when that is
-unset (local runs, tests) does it pick a scratch folder of its own.
+unset and the master is local does it pick a scratch folder of its own;
+elsewhere it raises.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
-        # unset: only the case for local runs and tests
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sifter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

@@ -5,8 +5,8 @@ the batch operators apply per micro-batch.  ``label_stream`` is a pure
 projection (runs directly on a streaming DataFrame); ``start_scoring``
 runs the bag-of-words + lexicon scoring per micro-batch through
 ``foreachBatch`` (the per-article counting would otherwise be a
-stateful streaming aggregation with unbounded state), appending to a
-Parquet sink.  Checkpoints live under the shared checkpoint folder.
+stateful streaming aggregation with unbounded state), into a Parquet
+sink partitioned by batch id.  Checkpoints live under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -32,11 +32,17 @@ def score_batch(batch: DataFrame, lexicon: DataFrame, stem: bool = False) -> Dat
     return LX.score_lexicon(long, lexicon, batch.drop("content"))
 
 
+def write_batch(scored: DataFrame, batch_id: int, sink_path: str) -> None:
+    """A partition for each batch id, written anew if the batch is retried,
+    so no row repeats."""
+    scored.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+
+
 def start_scoring(stream: DataFrame, lexicon: DataFrame, sink_path: str, checkpoint_path: str,
                   stem: bool = False, once: bool = False) -> StreamingQuery:
-    """Score each micro-batch and append (id, ..., score) to ``sink_path``."""
-    def each(batch: DataFrame, _epoch: int) -> None:
-        score_batch(batch, lexicon, stem).write.mode("append").parquet(sink_path)
+    """Score each micro-batch into ``sink_path`` (``write_batch``)."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(score_batch(batch, lexicon, stem), batch_id, sink_path)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)
     if once:
