@@ -101,17 +101,17 @@ def _in_order(value: str):
 class PassiveAggressive:
     """``epochs``: at most so many; training stops once the mean loss has not
     fallen ``tol`` below its least value for ``patience`` epochs in a row.
-    ``shards``: see the module."""
+    ``partitions``: the shards, see the module."""
 
     def __init__(self, C: float = 1.0, epochs: int = 1000, tol: float = 1e-3, seed: int = 42,
-                 shards: int = 16, patience: int = 5):
-        self.C, self.epochs, self.tol, self.seed, self.shards = C, epochs, tol, seed, shards
+                 partitions: int = 16, patience: int = 5):
+        self.C, self.epochs, self.tol, self.seed, self.partitions = C, epochs, tol, seed, partitions
         self.patience = patience
 
     def fit(self, rows: DataFrame, dim: int) -> PAModel:
         """``rows``: (id, y, idx, val), dealt to shards by id."""
         spark = rows.sparkSession
-        data = (rows.repartition(self.shards, "id").withColumn("shard", F.spark_partition_id())
+        data = (rows.repartition(self.partitions, "id").withColumn("shard", F.spark_partition_id())
                 .sortWithinPartitions("id").select("y", "idx", "val", "shard").cache())
         w, b, best, waited = np.zeros(dim), 0.0, np.inf, 0
         for epoch in range(self.epochs):
@@ -135,4 +135,4 @@ class PassiveAggressive:
         nz = np.nonzero(w)[0]
         weights = spark.createDataFrame(
             pd.DataFrame({"idx": nz.astype(np.int64), "w": w[nz]}), "idx long, w double")
-        return PAModel(weights, float(b), self.shards)
+        return PAModel(weights, float(b), self.partitions)

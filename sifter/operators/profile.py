@@ -51,11 +51,16 @@ def exact_quantiles(df: DataFrame, value: str, by: str, probs: Sequence[float])
             .select(by, "i", (F.col("x") + (F.col("y") - F.col("x")) * (F.col("rank") - F.floor("rank"))).alias("q")))
 
 
-def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0, approx: bool = False) -> DataFrame:
     """Per group: n, mean, q1, median, q3, whisker_low, whisker_high
-    (most extreme values within ``whis`` * IQR of the box)."""
-    v = F.col(value).cast("double")
-    q = exact_quantiles(df, value, by, (0.25, 0.5, 0.75))
+    (most extreme values within ``whis`` * IQR of the box).  ``approx``:
+    quartiles from the mergeable sketch alone."""
+    v, probs = F.col(value).cast("double"), (0.25, 0.5, 0.75)
+    if approx:
+        q = (df.groupBy(by).agg(F.percentile_approx(v, list(probs), ACCURACY).alias("_q"))
+             .select(by, F.posexplode("_q").alias("i", "q")))
+    else:
+        q = exact_quantiles(df, value, by, probs)
     pick = lambda i: F.max(F.when(F.col("i") == i, F.col("q")))
     quart = q.groupBy(by).agg(pick(0).alias("q1"), pick(1).alias("median"), pick(2).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
@@ -83,14 +88,14 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 RANGE_ROWS = 1_000_000
 
 
-def global_position(df: DataFrame, order_col: str, out_col: str = "pos",
-                    range_rows: int = RANGE_ROWS) -> DataFrame:
+def global_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
+                    out_col: str = "pos") -> DataFrame:
     """1-based position of each row in ``order_col`` order (unique values),
     without sorting everything in one task: approximate quantiles cut the
     key range into buckets of near-equal size (a bounded list of cut
     points), a per-bucket count table gives offsets, and a window inside
     each bucket gives the local rank."""
-    n_buckets = 1 + df.count() // range_rows
+    n_buckets = n_buckets or 1 + df.count() // RANGE_ROWS
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(df.approxQuantile(order_col, probs, 0.1 / n_buckets))) if probs else [0.0]
     splits_ = [-float("inf")] + cuts + [float("inf")]
@@ -106,14 +111,19 @@ def global_position(df: DataFrame, order_col: str, out_col: str = "pos",
             .drop("_key", "_bucket", "_off"))
 
 
-def label_prefix_ratio(df: DataFrame, shares: Sequence[float], order_col: str = "id",
+def label_share_ratio(df: DataFrame, shares: Sequence[float], order_col: str = "id",
+                      label: str = "type") -> DataFrame:
+    """``label_prefix_ratio`` up to shares of the rows, rounded down."""
+    n_rows = df.count()
+    return label_prefix_ratio(df, [int(s * n_rows) for s in shares], order_col, label)
+
+
+def label_prefix_ratio(df: DataFrame, cutoffs: Sequence[int], order_col: str = "id",
                        label: str = "type") -> DataFrame:
     """fake/reliable ratio among the first N rows (in ``order_col``
-    order) for each share of the rows (N: the share of their number, rounded
-    down): one positional pass, counts per cut interval, then a running
-    sum over the (few) intervals."""
-    n_rows = df.count()
-    cuts = sorted({int(s * n_rows) for s in shares})
+    order) for each N in ``cutoffs``: one positional pass, counts per
+    cut interval, then a running sum over the (few) intervals."""
+    cuts = sorted({int(c) for c in cutoffs})
     pos = global_position(df.select(order_col, label), order_col)
     interval = F.lit(None).cast("int")
     for i, c in reversed(list(enumerate(cuts))):

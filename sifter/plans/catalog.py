@@ -718,7 +718,7 @@ FROM c LEFT JOIN pos p ON p.pos <= c.first_n GROUP BY c.first_n""")
 def q_label_prefix_ratio(spark, sf_dir):
     """Fake/reliable ratio among the first quarter, half, three quarters and all
     of the articles by id (A19)."""
-    r = PR.label_prefix_ratio(kept_corpus(spark, sf_dir, distribute=False), SHARES)
+    r = PR.label_share_ratio(kept_corpus(spark, sf_dir, distribute=False), SHARES)
     return r.withColumn("ratio", F.round("ratio", 6))
 
 

@@ -82,7 +82,7 @@ def _fit_pa(train: DataFrame, params: dict):
     rows = PA.sparse_rows(long, index, y)
     model = PA.PassiveAggressive(C=params.get("C", 1.0), epochs=params.get("epochs", 1000),
                                  tol=params.get("tol", 1e-3), seed=params.get("seed", 42),
-                                 shards=params.get("shards", CL.SHARDS)).fit(rows, dim)
+                                 partitions=params.get("shards", CL.SHARDS)).fit(rows, dim)
 
     def scorer(df: DataFrame) -> DataFrame:
         lg = df.select("id", F.explode("words").alias("word", "n"))
