@@ -4,10 +4,9 @@ iterative parameter mixing (McDonald, Hall and Mann 2010).
 Each epoch broadcasts the current weights; every partition runs the
 online PA-I updates over its own rows in a fixed, seeded order
 (``mapInPandas``, Arrow batches) and emits its weights scaled by its row
-count as sparse (index, value) rows; a ``groupBy(index)`` adds up the
-shards' values in the order of the shards.  The number of shards is a
-parameter of the model, so neither the order nor the sums depend on the
-cluster.  The weight vector -- the model, as
+count as sparse (index, value) rows; a ``groupBy(index)`` adds them up
+exactly, as decimals.  The number of shards is a parameter of the model,
+so neither the order of the rows nor the sums depend on the cluster.  The weight vector -- the model, as
 long as the vocabulary -- is the only thing that reaches the driver.
 Scoring is a join of the long bag with the weight table and a sum per
 article, all JVM-side.
@@ -68,7 +67,7 @@ def _epoch_fn(w: np.ndarray, b: float, C: float, seed: int):
     """One shard's pass: rows in a seeded order within each Arrow batch,
     batches in order, so a batch at a time is in memory."""
     def run(batches):
-        ws, bs, n, loss, shard = w.copy(), b, 0, 0.0, 0
+        ws, bs, n, loss = w.copy(), b, 0, 0.0
         for k, pdf in enumerate(batches):
             idx_col, val_col, y_col = pdf["idx"].to_numpy(), pdf["val"].to_numpy(), pdf["y"].to_numpy(float)
             for i in np.random.default_rng((seed, k)).permutation(len(pdf)):
@@ -80,22 +79,18 @@ def _epoch_fn(w: np.ndarray, b: float, C: float, seed: int):
                     ws[idx] += tau * y * val
                     bs += tau * y
             n += len(pdf)
-            if len(pdf):
-                shard = int(pdf["shard"].iat[0])
         if n:
             nz = np.nonzero(ws)[0]
             yield pd.DataFrame({"idx": np.concatenate([nz, [INTERCEPT]]).astype(np.int64),
-                                "shard": np.full(len(nz) + 1, shard, dtype=np.int32),
                                 "s": np.concatenate([ws[nz] * n, [bs * n]]),
                                 "n": np.full(len(nz) + 1, n, dtype=np.int64),
                                 "loss": np.full(len(nz) + 1, loss)})
     return run
 
 
-def _in_order(value: str):
-    """Sum over the shards in their order (a handful of values per index)."""
-    pairs = F.sort_array(F.collect_list(F.struct("shard", F.col(value).cast("double").alias("v"))))
-    return F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + p["v"])
+def _exact_sum(value: str):
+    """Sum of the shards' values as decimals: the same in any order."""
+    return F.sum(F.col(value).cast("decimal(28,12)")).cast("double")
 
 
 class PassiveAggressive:
@@ -111,13 +106,12 @@ class PassiveAggressive:
     def fit(self, rows: DataFrame, dim: int) -> PAModel:
         """``rows``: (id, y, idx, val), dealt to shards by id."""
         spark = rows.sparkSession
-        data = (rows.repartition(self.partitions, "id").withColumn("shard", F.spark_partition_id())
-                .sortWithinPartitions("id").select("y", "idx", "val", "shard").cache())
+        data = rows.repartition(self.partitions, "id").sortWithinPartitions("id").select("y", "idx", "val").cache()
         w, b, best, waited = np.zeros(dim), 0.0, np.inf, 0
         for epoch in range(self.epochs):
             mixed = (data.mapInPandas(_epoch_fn(w, b, self.C, self.seed + epoch),
-                                      "idx long, shard int, s double, n long, loss double")
-                     .groupBy("idx").agg(_in_order("s").alias("s"), F.sum("n").alias("n"), _in_order("loss").alias("loss"))
+                                      "idx long, s double, n long, loss double")
+                     .groupBy("idx").agg(_exact_sum("s").alias("s"), F.sum("n").alias("n"), _exact_sum("loss").alias("loss"))
                      .toPandas())  # a row for each weight of the model
             at_bias = mixed["idx"] == INTERCEPT
             if not at_bias.any():  # no training rows
