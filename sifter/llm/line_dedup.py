@@ -26,7 +26,7 @@ kept as they are, but for the text.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -100,11 +100,97 @@ def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .mapInArrow(_align, f"doc struct<id:{kind},key:bigint>, cut array<int>"))
 
 
+def block(own: list, other: list, long: list[bool]) -> list[int]:
+    """Positions of ``own`` that align with ``other``: the common lines that
+    are ``long`` (anchors), all equal lines between two anchors, and the equal
+    lines in a run before the first and after the last one."""
+    def common(a: int, b: int, c: int, d: int, anchors: bool) -> list[tuple[int, int]]:
+        there: dict = {}
+        for q in range(c, d):
+            there.setdefault(other[q], []).append(q)
+        taken: dict = {}
+        pairs = []
+        for p in range(a, b):
+            k = taken.get(own[p], 0)
+            if (long[p] or not anchors) and k < len(there.get(own[p], ())):
+                pairs.append((p, there[own[p]][k]))
+                taken[own[p]] = k + 1
+        return [pairs[i] for i in longest_ascent([q for _, q in pairs])]
+
+    anchors = common(0, len(own), 0, len(other), True)
+    if not anchors:
+        return []
+    out = [p for p, _ in anchors]
+    p, q = anchors[0]
+    while p and q and own[p - 1] == other[q - 1]:
+        p, q = p - 1, q - 1
+        out.append(p)
+    for (a, c), (b, d) in zip(anchors, anchors[1:], strict=False):
+        a, c = a + 1, c + 1
+        while a < b and c < d and own[a] == other[c]:  # the same ends first, as in a diff
+            out.append(a)
+            a, c = a + 1, c + 1
+        while a < b and c < d and own[b - 1] == other[d - 1]:
+            b, d = b - 1, d - 1
+            out.append(b)
+        out += [p for p, _ in common(a, b, c, d, False)]
+    p, q = anchors[-1]
+    while p + 1 < len(own) and q + 1 < len(other) and own[p + 1] == other[q + 1]:
+        p, q = p + 1, q + 1
+        out.append(p)
+    return sorted(out)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h, g, long, other_h, other_g = (batch.column(i) for i in range(1, 6))
+        cut = [block(list(zip(h[i].as_py(), g[i].as_py(), strict=True)),
+                     list(zip(other_h[i].as_py(), other_g[i].as_py(), strict=True)), long[i].as_py())
+               for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.list_(pa.int32()))], ["doc", "cut"])
+
+
+def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc, h, g, long): two hashes of every line of a document, and whether it
+    is an anchor; documents without an anchor are left out."""
+    lines = F.split(text_col, "\n", -1)
+    return (docs.select(document(id_col, text_col).alias("doc"), F.transform(lines, lambda x: F.xxhash64(x)).alias("h"),
+                        F.transform(lines, lambda x: F.hash(x)).alias("g"),
+                        F.transform(lines, lambda x: F.size(split_words(x)) >= least_words).alias("long"))
+            .filter(F.exists("long", lambda x: x)).dropDuplicates(["doc"]))
+
+
+def partners(own: DataFrame) -> DataFrame:
+    """(doc, other): the first document of each anchor, for the later ones."""
+    lines = (own.select("doc", F.explode(F.array_distinct(F.filter(
+        F.arrays_zip("h", "g", "long"), lambda x: x["long"]))).alias("x")).select("doc", "x.h", "x.g"))
+    first = staged(lines.groupBy("h", "g").agg(F.min("doc").alias("other"), F.max("doc").alias("last"))
+                   .filter(F.col("other") != F.col("last")).select("h", "g", "other"), "line-partners")
+    return lines.join(first, ["h", "g"]).filter(F.col("doc") != F.col("other")).select("doc", "other").distinct()
+
+
+def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc, cut): the positions of the lines to delete with the short lines
+    that align, of documents that have any."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = staged(line_hashes(docs, id_col, text_col, least_words), "line-hashes")
+    pairs = staged(partners(own), "line-pairs")
+    other = own.select(F.col("doc").alias("other"), F.col("h").alias("other_h"), F.col("g").alias("other_g"))
+    return (pairs.join(own.hint("merge"), "doc").join(other.hint("merge"), "other")
+            .select("doc", "h", "g", "long", "other_h", "other_g")
+            .mapInArrow(_blocks, f"doc struct<id:{kind},key:bigint>, cut array<int>")
+            .select("doc", F.explode("cut").alias("at"))
+            .groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("cut")))
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          least_words: int = LEAST_WORDS) -> DataFrame:
+          least_words: int = LEAST_WORDS, find: Callable[..., DataFrame] = cuts) -> DataFrame:
     """(row, n_lines, cut): a struct of all columns with the text that is left,
-    the lines before, and the positions of the deleted ones."""
-    found = cuts(docs, id_col, text_col, least_words)
+    the lines before, and the positions of the deleted ones, as ``find`` has
+    them: ``blocks`` for the whole job, ``cuts`` for anchors alone."""
+    found = find(docs, id_col, text_col, least_words)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), document(id_col, text_col).alias("doc"))
     joined = rows.join(found, "doc", "left").withColumn("cut", F.coalesce("cut", F.array().cast("array<int>")))
     text = F.col("row")[text_col]

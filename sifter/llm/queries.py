@@ -103,7 +103,8 @@ def op3_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_line_alignment")
 def op9_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, those deleted, and the digest of what is left."""
-    return line_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, find=line_dedup.blocks).select(
         "row.doc_id", "n_lines", F.size("cut").cast("long").alias("n_deleted"),
         F.array_join(F.col("cut").cast("array<string>"), ",").alias("deleted"),
         F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("left_sha256"))
