@@ -1,19 +1,28 @@
 r"""Line dedup by pairwise alignment.
 
-Documents that share a line of ``LEAST_WORDS`` words or more overlap.  A
-line's hash pairs each later document with the first document that has
-the line (documents in order of id), so a line costs a row for each of its
-occurrences, however common it is, and no group is expanded into pairs.
-Each pair is aligned by patience: the common lines, a repeated line told
-apart by its occurrence number, are put in the later document's order and
-the longest run of them that ascends in the earlier one is the
-alignment.  The aligned blocks are deleted from the later document.
+Documents that share a line of ``LEAST_WORDS`` words or more (an anchor)
+overlap.  Each later document is aligned with the earlier ones it overlaps
+(documents in order of id) by patience: the common anchors, a repeated line
+told apart by its occurrence number, are put in the later document's order
+and the longest run of them that ascends in the earlier one is kept.  All
+equal lines between two kept anchors, whatever their length, and the runs
+of equal lines beside the outer ones align too.  ``blocks`` deletes what
+aligns with any earlier document; ``cuts`` the anchors alone, from the
+first document of each line.
+
+Pairs: lines of one document align with none, so documents whose shared
+lines and gaps are the same (a form) are compared once.  A form is aligned
+with the first holder and the one just before of each anchor and of each
+run from anchor to anchor, at most two rows an occurrence.  Lines that
+this leaves but that an earlier document has are then compared with every
+earlier form that holds them, so the result is that of all pairs; this
+last step grows as the left lines times their holders.
 
 Scale: the text is read three times and shuffled once, when the deletions meet
-it; everything else moves line hashes.  The first document of a line comes
-from a hash aggregate with partial results in each task, and the joins on
-line hashes are sort-merge joins that adaptive execution may split at a
-hot line.  The work on one row is bounded by one document's lines.
+it; everything else moves line hashes.  Joins on line hashes are sort-merge
+joins that adaptive execution may split at a hot line; only the forms that
+hold one line are sorted together, by a window, to find the one before.
+The work on one row is bounded by the lines of two documents.
 
 Results defined for odd input: a null text stays null and an empty one
 empty; a null id is ordered first; rows equal in id and text are one
@@ -29,7 +38,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter.llm.columns import at, document, let, split_words, upto
@@ -141,47 +150,130 @@ def block(own: list, other: list, long: list[bool]) -> list[int]:
     return sorted(out)
 
 
+def _coded(x: list[dict], gap: int) -> list:
+    """The lines of a profile, with ``gap`` where lines of one document only were."""
+    out, last = [], None
+    for e in x:
+        if last is not None and e["at"] != last + 1:
+            out.append(gap)
+        out.append((e["h"], e["g"]))
+        last = e["at"]
+    return out
+
+
+def _spread(x: list[dict]) -> list[dict | None]:
+    """A profile's entries, with None at its gaps."""
+    it = iter(x)
+    return [None if c == 0 else next(it) for c in _coded(x, 0)]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        h, g, long, other_h, other_g = (batch.column(i) for i in range(1, 6))
-        cut = [block(list(zip(h[i].as_py(), g[i].as_py(), strict=True)),
-                     list(zip(other_h[i].as_py(), other_g[i].as_py(), strict=True)), long[i].as_py())
-               for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.list_(pa.int32()))], ["doc", "cut"])
+        cuts = []
+        for x, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            own = _spread(x)
+            cut = block(_coded(x, 0), _coded(other, 1), [e is not None and e["long"] for e in own])
+            cuts.append([own[p]["at"] for p in cut])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cuts, pa.list_(pa.int32()))], ["doc", "cut"])
+
+
+def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines (h, g, long) of a document that an earlier one has, that are
+    not cut and that another pair could still cut: any anchor, and a short line
+    between two anchors or in a run with one."""
+    for batch in batches:
+        docs, rest = [], []
+        for i, (x, held, cut) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
+            own, cut, held = _spread(x), set(cut or ()), {(e["h"], e["g"]) for e in held}
+            is_held = [e is not None and (e["h"], e["g"]) in held for e in own]
+            anchors = [p for p, e in enumerate(own) if is_held[p] and e["long"]]
+            if not anchors:
+                continue
+            low, high = anchors[0], anchors[-1]
+            while low and is_held[low - 1]:
+                low -= 1
+            while high + 1 < len(own) and is_held[high + 1]:
+                high += 1
+            left = {(e["h"], e["g"], e["long"]) for p, e in enumerate(own[low:high + 1], low)
+                    if is_held[p] and e["at"] not in cut}
+            docs += [i] * len(left)
+            rest += left
+        cols = [pa.array([r[k] for r in rest], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs, pa.int64())), *cols], ["doc", "h", "g", "long"])
 
 
-def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc, h, g, long): two hashes of every line of a document, and whether it
-    is an anchor; documents without an anchor are left out."""
-    lines = F.split(text_col, "\n", -1)
-    return (docs.select(document(id_col, text_col).alias("doc"), F.transform(lines, lambda x: F.xxhash64(x)).alias("h"),
-                        F.transform(lines, lambda x: F.hash(x)).alias("g"),
-                        F.transform(lines, lambda x: F.size(split_words(x)) >= least_words).alias("long"))
-            .filter(F.exists("long", lambda x: x)).dropDuplicates(["doc"]))
+def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc, x, rep): the lines (at, h, g, long) that a document shares with any
+    other, in order, ``long`` for anchors, of documents that share an anchor;
+    and the first document with such lines and gaps."""
+    line = F.struct(F.xxhash64("col").alias("h"), F.hash("col").alias("g"),
+                    (F.size(split_words(F.col("col"))) >= least_words).alias("long"))
+    lines = (docs.select(document(id_col, text_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)))
+             .select("doc", F.col("pos").alias("at"), line.alias("e")).select("doc", "at", "e.*"))
+    # stage tables: joins of two plain exchanges can be split at a hot line or profile
+    shared = staged(lines.groupBy("h", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                    .filter(F.col("lo") != F.col("hi")).select("h", "g"), "line-shared")
+    found = (lines.join(shared.hint("merge"), ["h", "g"])
+             .groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "h", "g", "long"))).alias("x"))
+             .filter(F.exists("x", lambda e: e["long"])))
+    form = F.transform("x", lambda e, i: F.struct(
+        e["h"], e["g"], F.when(i > 0, e["at"] != at(F.col("x"), i - 1)["at"] + 1).otherwise(False)))
+    found = staged(found.select("doc", "x", F.xxhash64(form).alias("p"), F.hash(form).alias("r")), "line-profiles")
+    first = staged(found.groupBy("p", "r").agg(F.min("doc").alias("rep")), "line-forms")
+    return staged(found.join(first.hint("merge"), ["p", "r"]).select("doc", "x", "rep"), "line-classes")
 
 
-def partners(own: DataFrame) -> DataFrame:
-    """(doc, other): the first document of each anchor, for the later ones."""
-    lines = (own.select("doc", F.explode(F.array_distinct(F.filter(
-        F.arrays_zip("h", "g", "long"), lambda x: x["long"]))).alias("x")).select("doc", "x.h", "x.g"))
-    first = staged(lines.groupBy("h", "g").agg(F.min("doc").alias("other"), F.max("doc").alias("last"))
-                   .filter(F.col("other") != F.col("last")).select("h", "g", "other"), "line-partners")
-    return lines.join(first, ["h", "g"]).filter(F.col("doc") != F.col("other")).select("doc", "other").distinct()
+def aligned_cuts(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(doc, at) that the pairs (doc, other) cut."""
+    other = reps.select(F.col("doc").alias("other"), F.col("x").alias("other_x"))
+    return (pairs.join(reps.hint("merge"), "doc").join(other.hint("merge"), "other").select("doc", "x", "other_x")
+            .mapInArrow(_blocks, f"doc {reps.schema['doc'].dataType.simpleString()}, cut array<int>")
+            .select("doc", F.explode("cut").alias("at")).distinct())
 
 
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc, cut): the positions of the lines to delete with the short lines
-    that align, of documents that have any."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    own = staged(line_hashes(docs, id_col, text_col, least_words), "line-hashes")
-    pairs = staged(partners(own), "line-pairs")
-    other = own.select(F.col("doc").alias("other"), F.col("h").alias("other_h"), F.col("g").alias("other_g"))
-    return (pairs.join(own.hint("merge"), "doc").join(other.hint("merge"), "other")
-            .select("doc", "h", "g", "long", "other_h", "other_g")
-            .mapInArrow(_blocks, f"doc struct<id:{kind},key:bigint>, cut array<int>")
-            .select("doc", F.explode("cut").alias("at"))
+    """(doc, cut): the positions of the lines that align with any earlier
+    document's, of documents that have any."""
+    classes = profiles(docs, id_col, text_col, least_words)
+    # lines of one document only align with none: a document aligns alike with all of a form
+    reps = staged(classes.filter(F.col("doc") == F.col("rep")).select("doc", "x"), "line-reps")
+    again = (classes.filter(F.col("doc") != F.col("rep")).select("doc", "x", F.col("x").alias("same"))
+             .mapInArrow(_blocks, f"doc {reps.schema['doc'].dataType.simpleString()}, cut array<int>")
+             .select("doc", F.explode("cut").alias("at")))
+
+    ends = F.concat(F.array(F.lit(0)), F.filter(upto(F.size("x")), lambda i: at(F.col("x"), i)["long"]),
+                    F.array(F.size("x") - 1))
+    runs = let(ends, lambda b: F.transform(upto(F.size(b) - 1), lambda i: F.struct(
+        F.xxhash64(F.transform(F.slice(F.col("x"), at(b, i) + 1, at(b, i + 1) - at(b, i) + 1),
+                               lambda e: F.struct(e["h"], e["g"]))).alias("h"),
+        F.lit(None).cast("int").alias("g"), F.lit(False).alias("long"))))
+    lines = F.transform("x", lambda e: F.struct(e["h"].alias("h"), e["g"].alias("g"), e["long"].alias("long")))
+    holders = Window.partitionBy("h", "g").orderBy("doc")
+    held = staged(reps.select("doc", F.explode(F.array_distinct(F.concat(lines, runs))).alias("e")).select("doc", "e.*")
+                  .withColumns({"first": F.first("doc").over(holders), "before": F.lag("doc").over(holders)}), "line-holders")
+    # a line's first holder and the one just before, and those of runs from anchor to anchor
+    some = staged(held.filter("before IS NOT NULL AND (long OR g IS NULL)")
+                  .select("doc", F.explode(F.array("first", "before")).alias("other")).distinct(), "line-pairs")
+    cut = staged(aligned_cuts(some, reps), "line-cuts")
+
+    # what they leave is compared with every earlier holder
+    held = held.filter("g IS NOT NULL").select("doc", "h", "g", "long", "before")
+    per_doc = (held.filter("before IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("h", "g")).alias("held")))
+    rest = staged(reps.join(per_doc, "doc").join(cut.groupBy("doc").agg(F.collect_set("at").alias("cut")), "doc", "left")
+                  .select("doc", "x", "held", "cut")
+                  .mapInArrow(_rest, f"doc {reps.schema['doc'].dataType.simpleString()}, h long, g int, long boolean"), "line-rest")
+    anchors = held.filter("long").select(F.col("doc").alias("other"), "h", "g")
+    by_anchor = (rest.filter("long").select("doc", "h", "g").join(anchors, ["h", "g"])
+                 .filter(F.col("other") < F.col("doc")).select("doc", "other"))
+    short = rest.filter("NOT long").select("doc", F.col("h").alias("short_h"), F.col("g").alias("short_g"))
+    with_short = held.filter("NOT long").select(F.col("doc").alias("other"), F.col("h").alias("short_h"), F.col("g").alias("short_g"))
+    by_short = (held.filter("long AND before IS NOT NULL").select("doc", "h", "g").join(short, "doc").join(anchors, ["h", "g"])
+                .filter(F.col("other") < F.col("doc")).select("doc", "other", "short_h", "short_g").distinct()
+                .join(with_short, ["other", "short_h", "short_g"], "left_semi").select("doc", "other"))
+    more = staged(by_anchor.union(by_short).distinct().join(some, ["doc", "other"], "left_anti"), "line-more-pairs")
+    return (cut.union(aligned_cuts(more, reps)).union(again)
             .groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("cut")))
 
 

@@ -25,3 +25,19 @@ def test_blocks_of_two_texts():
     assert block("xAxyBy", "xAxyBy") == [0, 1, 2, 3, 4, 5]
     assert block("xyxAPyB", "yyxAQyB") == [1, 2, 3, 5, 6]  # runs at the ends, all equal lines between
     assert block("xy", "xy") == [] and block("xAy", "yAx") == [1]
+
+
+def test_blocks_are_those_of_all_earlier_documents(spark):
+    rnd = random.Random(4)
+    pool = [sentence(rnd, 7) for _ in range(9)] + ["too short", "", "By us"]
+    x, y = pool[:2]
+    texts = [f"{y}\n{x}", f"{x}\n{y}", f"{x}\n{y}"]  # the first holder of x and y has another order
+    texts += ["\n".join(rnd.choice([*pool, f"only {i}"]) for _ in range(rnd.randrange(1, 9))) for i in range(150)]
+    texts += [texts[9], texts[30], None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc.id: set(r.cut) for r in line_dedup.blocks(docs).collect()}
+    lines = [(t or "").split("\n") for t in texts]
+    for i, own in enumerate(lines):
+        long = [len(w.split()) >= 5 for w in own]
+        assert got.get(i, set()) == {p for other in lines[:i] for p in line_dedup.block(own, other, long)}
+    assert got[2] == {0, 1}
