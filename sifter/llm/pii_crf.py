@@ -4,9 +4,10 @@ The patterns (e-mail, IP, card, phone with their checks) give the base
 spans.  A document's nodes are its base spans, whose label is observed,
 and its other candidates: digit groups, words with ``@``, and words equal
 to the local part of one of its e-mail addresses.  Nodes near each other
-share a chain potential; each node and the last one before it that repeats
-it (the same digits, the same text, an address' local part) share a skip
-potential.  Loopy sum-product message passing then gives every candidate
+share a chain potential; each node and the document's first observed one
+that it repeats (the same digits, the same text, an address' local part;
+the first one, if none is observed) share a skip potential.  Links between
+the repeats besides would count their own evidence again.  Loopy sum-product message passing then gives every candidate
 the distribution of its label; a candidate that is some kind of personal
 data with probability ``SURE`` or more is added as a span.
 
@@ -14,8 +15,10 @@ The node and edge potentials are log-ratios of counts over all documents,
 labelled by the base spans (one pass, partial counts per task, at most
 ``TEMPLATES * FEATURES * 5 + 50`` cells in the end); a prior of
 ``AGREE`` agreeing skip edges stands for consistency.  Finding is
-map-only, and a long document costs time in proportion to its length:
-repeats are linked to the one before, not to all others.
+map-only, and a round costs time in proportion to a document's length:
+repeats are linked to one for each key, not to all.  Messages pass until they
+settle, in each document on its own, so that evidence reaches every repeat
+and no document's result depends on its batch.
 
 Results defined for odd input: a null or empty text has no spans; rows
 that repeat an id are judged each on its own; digit groups of any length
@@ -38,7 +41,11 @@ from sifter.llm.textkit import flat_bytes, slices
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + len(KINDS)  # 0: none
 FEATURES, TEMPLATES = 1 << 12, 5
-ROUNDS, DAMPING, SURE, AGREE, SMOOTH = 8, 0.3, 0.8, 2000.0, 0.5
+DAMPING, SURE, AGREE, SMOOTH = 0.3, 0.8, 2000.0, 0.5
+#: A document's messages pass until none would change by more than
+#: ``TOLERANCE``.  Loops may swing for ever: every ``PATIENCE`` rounds halve the
+#: step, and a document that still swings stops after ``MOST_ROUNDS``.
+TOLERANCE, PATIENCE, MOST_ROUNDS = 1e-4, 100, 1000
 #: Weight of the chain potentials: neighbours' labels and the features count
 #: the same evidence twice.
 CHAIN = 0.25
@@ -161,16 +168,24 @@ def keys(word: str) -> list[str]:
 
 
 def graph(text: str, found: list[tuple[int, int, int]], failed: list[tuple[int, int]]):
-    """Feature rows of the nodes, and their (left, right, 0 chain or 1 skip) edges."""
+    """Feature rows of the nodes, and their (left, right, kind) edges: 0 chain,
+    1 to the repeat before, which is counted, 2 to the first observed or first
+    one, along which messages pass with the potential of 1."""
     gone = set(failed)
     rows = [features(text, a, b, gone if len(gone) < 50 else set()) for a, b, _ in found]
-    edges, before = [], {}
-    for i, (a, b, _) in enumerate(found):
+    edges, before, first = [], {}, {}
+    repeats = [keys(text[a:b]) for a, b, _ in found]
+    for observed in (True, False):
+        for i, (_, _, label) in enumerate(found):
+            if bool(label) == observed:
+                for k in repeats[i]:
+                    first.setdefault(k, i)
+    for i, (a, _, _) in enumerate(found):
         if i and a - found[i - 1][1] <= NEAR:
             edges.append((i - 1, i, 0))
-        for j in {before[k] for k in keys(text[a:b]) if k in before}:
-            edges.append((j, i, 1))
-        for k in keys(text[a:b]):
+        edges += [(j, i, 1) for j in sorted({before[k] for k in repeats[i] if k in before})]
+        edges += [(j, i, 2) for j in sorted({first[k] for k in repeats[i]} - {i})]
+        for k in repeats[i]:
             before[k] = i
     return rows, edges
 
@@ -198,7 +213,7 @@ def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for row, (_, _, label) in zip(rows, found, strict=True):
                     for f in row:
                         table[f * LABELS + label] += 1
-                for i, j, kind in edges:
+                for i, j, kind in (e for e in edges if e[2] < 2):
                     table[pairs + (kind * LABELS + found[i][2]) * LABELS + found[j][2]] += 1
     cells = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(table[cells])], ["cell", "n"])
@@ -221,31 +236,47 @@ class Crf:
         # a repeat says as much for one kind as for another
         self.edge[1] = np.log(pair[1] / np.sqrt(np.outer(np.diag(pair[1]), np.diag(pair[1]))))
 
-    def posteriors(self, rows: np.ndarray, labels: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Label distributions of the nodes of any number of documents."""
+    def posteriors(self, rows: np.ndarray, labels: np.ndarray, edges: np.ndarray,
+                   owner: np.ndarray | None = None) -> np.ndarray:
+        """Label distributions of the nodes of any number of documents;
+        ``owner`` is each node's document, ascending from 0."""
         unary = self.unary[rows].mean(1)
         known = labels > 0
-        unary[known] = -40.0
+        unary[known] = -1e6  # no number of neighbours outweighs what is observed
         unary[known, labels[known]] = 0.0
+        owner = np.zeros(len(rows), np.int64) if owner is None else owner
+        kind = np.minimum(edges[:, 2], 1)
         left = np.concatenate([edges[:, 0], edges[:, 1]])
         right = np.concatenate([edges[:, 1], edges[:, 0]])
-        pot = np.concatenate([self.edge[edges[:, 2]], self.edge[edges[:, 2]].transpose(0, 2, 1)])
+        pot = np.concatenate([self.edge[kind], self.edge[kind].transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         message = np.zeros((len(left), LABELS))
+        at = np.arange(len(left))  # messages of documents that have not settled
 
-        def belief() -> np.ndarray:
-            total = unary.copy()
+        def belief(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Nodes that the messages reach, and what they believe."""
+            nodes, where = np.unique(right[at], return_inverse=True)
+            total = unary[nodes]
             for k in range(LABELS):
-                total[:, k] += np.bincount(right, message[:, k], len(unary))
-            return total
-
-        for _ in range(ROUNDS if len(edges) else 0):
-            out = (belief()[left] - message[back])[:, :, None] + pot
+                total[:, k] += np.bincount(where, message[at, k], len(nodes))
+            return nodes, total
+
+        for n in range(MOST_ROUNDS):
+            if not len(at):
+                break
+            nodes, total = belief(at)
+            out = (total[np.searchsorted(nodes, left[at])] - message[back[at]])[:, :, None] + pot[at]
             top = out.max(1, keepdims=True)
             new = (top + np.log(np.exp(out - top).sum(1, keepdims=True)))[:, 0]
             new -= new.max(1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
-        total = belief()
+            change = np.zeros(owner[-1] + 1)
+            np.maximum.at(change, owner[left[at]], np.abs(new - message[at]).max(1))
+            step = (1 - DAMPING) / 2 ** (n // PATIENCE)
+            message[at] += step * (new - message[at])
+            at = at[change[owner[left[at]]] > TOLERANCE]
+        nodes, total = belief(np.arange(len(left)))
+        unary[nodes] = total
+        total = unary
         p = np.exp(total - total.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
@@ -271,12 +302,13 @@ def spans_of(part: pa.RecordBatch, model: Crf) -> dict[int, list[tuple[int, int,
             at = len(rows)
             own, links = graph(text, found, failed)
             rows += own
-            edges += [(x + at, y + at, kind) for x, y, kind in links]
+            edges += [(x + at, y + at, kind) for x, y, kind in links if kind != 1]
             labels += [label for _, _, label in found]
             owner += [(i, a, b) for a, b, _ in found]
     if rows:
         label = np.array(labels)
-        p = model.posteriors(np.array(rows), label, np.array(edges, np.int64).reshape(-1, 3))
+        document = np.unique([i for i, _, _ in owner], return_inverse=True)[1]
+        p = model.posteriors(np.array(rows), label, np.array(edges, np.int64).reshape(-1, 3), document)
         best = p[:, 1:].argmax(1)
         for n in np.flatnonzero((label == 0) & (p[np.arange(len(p)), 1 + best] >= SURE)):
             i, a, b = owner[n]

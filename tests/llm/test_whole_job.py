@@ -2,8 +2,13 @@
 
 import random
 
-from sifter.llm import line_dedup
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sifter.llm import line_dedup, pii_crf
 from tests.llm.conftest import sentence
+from tests.llm.test_text_operators import PII
 
 
 def left_by_blocks(spark, texts):
@@ -41,3 +46,31 @@ def test_blocks_are_those_of_all_earlier_documents(spark):
         long = [len(w.split()) >= 5 for w in own]
         assert got.get(i, set()) == {p for other in lines[:i] for p in line_dedup.block(own, other, long)}
     assert got[2] == {0, 1}
+
+
+def spans_added(text, training):
+    counts = np.zeros(pii_crf.TEMPLATES * pii_crf.FEATURES * pii_crf.LABELS + 2 * pii_crf.LABELS ** 2)
+    for cells in pii_crf.count_cells(iter([pa.RecordBatch.from_pydict({"id": range(len(training)), "text": pa.array(training, pa.string())})])):
+        counts[cells.column(0).to_numpy()] = cells.column(1).to_numpy()
+    found = pii_crf.spans_of(pa.RecordBatch.from_pydict({"id": [1], "text": [text]}), pii_crf.Crf(counts))
+    return [s for s in found.get(0, []) if not s[3]]
+
+
+FULL, BARE = "+1 (988) 555-2485", "1 (988) 555-2485"
+TRAINING = [f"call {FULL} or {BARE}, ref 12345678", "mail jo.doe7@mail8.example.com, jo.doe7 says"] * 5
+
+
+@pytest.mark.parametrize("training", [TRAINING, [t for _, t in PII] * 5])
+def test_every_one_of_fifty_repeats_is_labelled(training):
+    gap = " words that keep the repeats from being neighbours of each other "
+    for text in (FULL + (gap + BARE) * 50, (BARE + gap) * 50 + FULL):
+        assert len(spans_added(text, training)) == 50
+
+
+def test_messages_travel_as_far_as_the_chain():
+    counts = np.zeros(pii_crf.TEMPLATES * pii_crf.FEATURES * pii_crf.LABELS + 2 * pii_crf.LABELS ** 2)
+    n = 40
+    edges = np.array([(i, i + 1, 1) for i in range(n - 1)])
+    rows = np.zeros((n, pii_crf.TEMPLATES), int)
+    p = pii_crf.Crf(counts).posteriors(rows, np.array([4] + [0] * (n - 1)), edges)
+    assert (p[:, 4] > 0.5).all() and (np.diff(p[:, 4]) < 0).all()
