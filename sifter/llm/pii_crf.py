@@ -29,7 +29,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -147,11 +149,24 @@ def shape(word: str) -> str:
     return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", word))[:16]
 
 
-def features(text: str, a: int, b: int, failed: set[tuple[int, int]]) -> list[int]:
+class Overlap:
+    """Tells whether a span overlaps any of ``spans``, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _ in spans]
+        self.reach = list(accumulate((b for _, b in spans), max))
+
+    def __call__(self, a: int, b: int) -> bool:
+        n = bisect_left(self.starts, b)
+        return n > 0 and self.reach[n - 1] > a
+
+
+def features(text: str, a: int, b: int, failed: Overlap) -> list[int]:
     word = text[a:b]
     digits = sum(c.isdigit() for c in word[:64])
     values = (shape(word), f"{digits}|{'@' in word}", f"{text[a - 1:a]}|{word[:1]}",
-              f"{text[b:b + 1]}|{word[-1:]}", f"{min(len(word), 40)}|{any(x < b and a < y for x, y in failed)}")
+              f"{text[b:b + 1]}|{word[-1:]}", f"{min(len(word), 40)}|{failed(a, b)}")
     return [i * FEATURES + zlib.crc32(v.encode("utf-8", "replace")) % FEATURES for i, v in enumerate(values)]
 
 
@@ -171,8 +186,8 @@ def graph(text: str, found: list[tuple[int, int, int]], failed: list[tuple[int,
     """Feature rows of the nodes, and their (left, right, kind) edges: 0 chain,
     1 to the repeat before, which is counted, 2 to the first observed or first
     one, along which messages pass with the potential of 1."""
-    gone = set(failed)
-    rows = [features(text, a, b, gone if len(gone) < 50 else set()) for a, b, _ in found]
+    overlap = Overlap(failed)
+    rows = [features(text, a, b, overlap) for a, b, _ in found]
     edges, before, first = [], {}, {}
     repeats = [keys(text[a:b]) for a, b, _ in found]
     for observed in (True, False):
@@ -298,7 +313,7 @@ def spans_of(part: pa.RecordBatch, model: Crf) -> dict[int, list[tuple[int, int,
         base, failed = base_spans(text)
         found = nodes(text, base)
         out[i] = [(a, k, b, True) for a, k, b in base]
-        if len(found) > len(base) and base:  # else nothing can follow from a known label
+        if len(found) > len(base):
             at = len(rows)
             own, links = graph(text, found, failed)
             rows += own

@@ -74,3 +74,22 @@ def test_messages_travel_as_far_as_the_chain():
     rows = np.zeros((n, pii_crf.TEMPLATES), int)
     p = pii_crf.Crf(counts).posteriors(rows, np.array([4] + [0] * (n - 1)), edges)
     assert (p[:, 4] > 0.5).all() and (np.diff(p[:, 4]) < 0).all()
+
+
+def test_failed_matches_count_in_long_texts_too():
+    rnd = random.Random(3)
+    spans = [(a, a + rnd.randrange(1, 30)) for a in (rnd.randrange(400) for _ in range(60))]
+    overlap = pii_crf.Overlap(spans)
+    for a in range(440):
+        for b in (a + 1, a + 7, a + 60):
+            assert overlap(a, b) == any(x < b and a < y for x, y in spans)
+    text = "card 4111 1111 1111 1112 "
+    row = lambda text: pii_crf.graph(text, pii_crf.nodes(text, pii_crf.base_spans(text)[0]), pii_crf.base_spans(text)[1])[0][0]
+    assert row(text) == row(text * 60)
+
+
+def test_documents_without_a_base_span_are_decoded():
+    # no label is observed, but the features alone are sure
+    model = pii_crf.Crf(np.zeros(pii_crf.TEMPLATES * pii_crf.FEATURES * pii_crf.LABELS + 2 * pii_crf.LABELS ** 2))
+    model.unary[:] = np.log([0.01, 0.01, 0.01, 0.96, 0.01])
+    assert pii_crf.spans_of(pa.RecordBatch.from_pydict({"id": [1], "text": ["ref 12345678"]}), model) == {0: [(4, 2, 12, False)]}
