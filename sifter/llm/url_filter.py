@@ -2,14 +2,15 @@
 
 ``fit`` trains gradient-boosted trees on labelled URLs: lengths, depth,
 digit ratio, character entropy, parameter counts and statistics of the
-host's suffixes (how often a suffix was blocked among the training URLs).
+host's suffixes (how often a suffix was blocked among all labelled URLs).
 ``judge`` gives a rule's verdict where a rule fits a URL and the trees'
 verdict elsewhere.  All of it is column expressions and Spark ML; nothing
 runs in Python on the executors.
 
 At most ``MAX_TRAIN`` labelled URLs (those with the least hashes) train
-the trees; their suffix table therefore has at most as many rows and is
-broadcast.  Judging is a scan with one broadcast join.
+the trees.  The suffix statistics count all labelled URLs in a hash aggregate;
+their tables grow with the suffixes, so they are joined without a hint: small
+ones are broadcast, the rest sort-merged.
 
 Results defined for odd input: a null URL, or one without ``://``, has an
 empty host and path, fits no rule and is judged by its features (a null
@@ -28,6 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sifter.llm.stage import staged
 
 #: Labelled URLs that the trees are fitted on, at most.
 MAX_TRAIN = 20_000
@@ -105,18 +107,18 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 @dataclass
 class UrlModel:
-    """Fitted trees, suffix rates and the rate of the training URLs; without
-    trees the verdict is that rate's."""
+    """Fitted trees, suffix rates by level and the rate of the labelled URLs;
+    without trees the verdict is that rate's."""
     trees: GBTClassificationModel | None
-    suffixes: DataFrame | None
+    suffixes: dict[str, DataFrame] | None
     rate: float
 
     def features(self, urls: DataFrame) -> DataFrame:
         df = lexical(urls)
         for level in ("top", "site"):
-            table = self.suffixes.filter(F.col("level") == level).select(
+            table = self.suffixes[level].select(
                 F.col("suffix").alias(level), F.col("rate").alias(f"{level}_rate"), F.col("log_n").alias(f"{level}_log_n"))
-            df = df.join(F.broadcast(table), level, "left")  # at most MAX_TRAIN rows
+            df = df.join(table, level, "left")
         df = df.fillna({"top_rate": self.rate, "site_rate": self.rate, "top_log_n": 0.0, "site_log_n": 0.0})
         return VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="features").transform(df)
 
@@ -130,19 +132,19 @@ class UrlModel:
 def fit(labelled: DataFrame, max_train: int = MAX_TRAIN, trees: int = TREES, depth: int = DEPTH,
         seed: int = SEED) -> UrlModel:
     """Trains on rows (url, label 0 or 1); rows with a null are left out."""
-    sample = (labelled.select("url", F.col("label").cast("double").alias("label")).dropna()
-              .orderBy(F.xxhash64("url"), "url", "label").limit(max_train).persist())
-    n, blocked = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    labelled = labelled.select("url", F.col("label").cast("double").alias("label")).dropna()
+    counted = staged(lexical(labelled).groupBy("top", "site").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")),
+                     "url-suffixes")
+    n, blocked = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
     if not 0 < blocked < n:
-        sample.unpersist()
         return UrlModel(None, None, blocked / n if n else 0.0)
     rate = blocked / n
-    parts = lexical(sample).select("label", F.explode(F.array(
-        F.struct(F.lit("top").alias("level"), F.col("top").alias("suffix")),
-        F.struct(F.lit("site").alias("level"), F.col("site").alias("suffix")))).alias("s"))
-    suffixes = (parts.groupBy("s.level", "s.suffix").agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
-                .select("level", "suffix", F.log1p("n").alias("log_n"),
-                        ((F.col("blocked") + SMOOTHING * rate) / (F.col("n") + SMOOTHING)).alias("rate")).persist())
+    suffixes = {level: staged(
+        counted.groupBy(F.col(level).alias("suffix")).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"))
+        .select("suffix", F.log1p("n").alias("log_n"),
+                ((F.col("blocked") + SMOOTHING * rate) / (F.col("n") + SMOOTHING)).alias("rate")), f"url-{level}")
+        for level in ("top", "site")}
+    sample = labelled.orderBy(F.xxhash64("url"), "url", "label").limit(max_train).persist()
     model = UrlModel(None, suffixes, rate)
     train = model.features(sample).select("features", "label")
     model.trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth,
