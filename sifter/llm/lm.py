@@ -3,9 +3,9 @@
 The model mixes maximum-likelihood estimates of the bigram, the unigram
 and the uniform distribution.  The mixture weights depend on how often the
 context was seen (buckets of powers of two) and are learned by
-expectation-maximisation on held-out counts: the documents of every
-``EM_PART``-th chunk, each of which is deleted from the counts that its own
-tokens are predicted from.
+expectation-maximisation on held-out counts: those of all training documents,
+each of which is deleted from the counts that its own tokens are predicted
+from.
 
 Counts are exact and grow with the corpus, so they are never broadcast.
 Documents are dealt to chunks of about ``CHUNK_CHARS`` characters; a chunk
@@ -36,7 +36,7 @@ from sifter.llm.textkit import mix64, words
 
 #: Characters of a chunk and of the texts that fill a part.
 CHUNK_CHARS, PART_CHARS = 12_000_000, 8_000_000
-EM_PART, EM_ROUNDS, BUCKETS = 8, 50, 24
+EM_ROUNDS, BUCKETS = 50, 24
 #: Steps of a probability's binary logarithm in the counts that EM reads.
 STEP = 4
 
@@ -275,8 +275,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "documents")]).first())
     answers = answers.filter("chunk >= 0").select("chunk", "kind", "part", "n", "totals")
 
-    part_of = F.col("chunk") % EM_PART == 0
-    held = (dealt.filter(part_of).groupBy("chunk").cogroup(answers.filter(part_of).groupBy("chunk"))
+    held = (dealt.groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(held_out_counts(tokens, documents), "cell long, n long")
             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())  # a bounded number of cells
     model = Model(tokens, types, documents, learn_weights(

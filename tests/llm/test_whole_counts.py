@@ -1,6 +1,12 @@
 """Statistics and links that a cut of the work would change."""
 
-from sifter.llm import url_filter
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sifter.llm import lm, url_filter
+from tests.llm.conftest import sentence
 
 
 def test_suffix_statistics_count_all_labelled_urls(spark):
@@ -10,3 +16,14 @@ def test_suffix_statistics_count_all_labelled_urls(spark):
     assert {(r.site, round(r.site_log_n, 6), round(r.top_log_n, 6)) for r in got} == {
         (f"s{i}.org", 2.397895, 5.70711) for i in range(30)}  # log1p(10), log1p(300)
     assert model.rate == 0.5
+
+
+@pytest.mark.parametrize("chars", [300, 12_000_000])
+def test_weights_are_learned_from_all_training_documents(spark, monkeypatch, chars):
+    monkeypatch.setattr(lm, "CHUNK_CHARS", chars)
+    seen, learn = [], lm.learn_weights
+    monkeypatch.setattr(lm, "learn_weights", lambda cell, n, types: seen.append(n.sum()) or learn(cell, n, types))
+    rnd = random.Random(1)
+    rows = [(i, sentence(rnd, 60)) for i in range(4)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") != 3).first()
+    assert seen == [3 * 61] and got.train_tokens == 3 * 61
