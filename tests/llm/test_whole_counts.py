@@ -1,12 +1,14 @@
 """Statistics and links that a cut of the work would change."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from sifter.llm import lm, url_filter
+from sifter.llm import lm, ngram_join, url_filter
 from tests.llm.conftest import sentence
+from tests.llm.test_corpus_operators import brute_join
 
 
 def test_suffix_statistics_count_all_labelled_urls(spark):
@@ -27,3 +29,14 @@ def test_weights_are_learned_from_all_training_documents(spark, monkeypatch, cha
     rows = [(i, sentence(rnd, 60)) for i in range(4)]
     got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") != 3).first()
     assert seen == [3 * 61] and got.train_tokens == 3 * 61
+
+
+def test_links_of_a_block_are_counted_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_NGRAMS", 40)  # several blocks for two sets, most of them empty
+    rnd = random.Random(5)
+    rows = []
+    for f in range(12):
+        base = sentence(rnd, 90, 100_000)
+        rows += [(2 * f, base), (2 * f + 1, base + " more")]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 80, 100, 3).collect()
+    assert Counter(tuple(r) for r in got) == brute_join(rows, 80, 100, 3)
