@@ -21,19 +21,19 @@ PREFIX_CHARS = 500  # the reference's shortening length
 DIGEST = "_digest"
 
 
-def prefix(col: Column | str, n: int = PREFIX_CHARS) -> Column:
-    """First ``n`` characters; null text counts as empty text."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.substring(F.coalesce(c, F.lit("")), 1, n)
+def prefix(col: Column | str, n: int | None = PREFIX_CHARS) -> Column:
+    """First ``n`` characters (None: all); null text counts as empty text."""
+    c = F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+    return c if n is None else F.substring(c, 1, n)
 
 
-def prefix_digest(text: Column, n: int = PREFIX_CHARS) -> Column:
+def prefix_digest(text: Column, n: int | None = PREFIX_CHARS) -> Column:
     """SHA-256 of the first ``n`` characters (null text as '')."""
     return F.sha2(prefix(text, n), 256)
 
 
 def group_digest(df: DataFrame, keys: Sequence[str] | None = None,
-                 text_col: str = "content", n: int = PREFIX_CHARS) -> Column:
+                 text_col: str = "content", n: int | None = PREFIX_CHARS) -> Column:
     """Digest of the grouping key: the text prefix (or a ``_digest``
     column computed at the scan), or a list of columns."""
     if not keys:
@@ -44,7 +44,7 @@ def group_digest(df: DataFrame, keys: Sequence[str] | None = None,
 
 
 def first_ids(df: DataFrame, keys: Sequence[str] | None = None, id_col: str = "id",
-              text_col: str = "content", n: int = PREFIX_CHARS) -> DataFrame:
+              text_col: str = "content", n: int | None = PREFIX_CHARS) -> DataFrame:
     """One id per group: the lowest."""
     return (df.select(F.col(id_col), group_digest(df, keys, text_col, n).alias("_key"))
             .groupBy("_key").agg(F.min(id_col).alias(id_col))
