@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe, line_dedup, lm, mixing, ngram_join, order_minhash, pii_crf, quality_model, quality_rules, url_filter
+from sifter.llm import (bpe, filter_audit, lexical_search, line_dedup, lm, mixing, ngram_join, order_minhash, pii_crf, quality_model,
+                        quality_rules, token_count, url_filter)
 from sifter.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,22 @@ def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         "train_tokens", "base_score", "score")
+
+
+@register("op11_heap_token_counts")
+def op11_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over 512 tokens."""
+    return token_count.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op12_filter_audit", filter_audit.SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, alone and in every order, by language."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), labels)
+
+
+@register("op13_term_pipeline_search", lexical_search.SQL)
+def op13_term_pipeline_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
