@@ -1,12 +1,13 @@
 """Passive-aggressive classifier (PA-I, Crammer et al. 2006) trained by
 iterative parameter mixing (McDonald, Hall and Mann 2010).
 
-Each epoch broadcasts the current weights; every partition runs the
-online PA-I updates over its own rows in a fixed, seeded order
-(``mapInPandas``, Arrow batches) and emits its weights scaled by its row
-count as sparse (index, value) rows; a ``groupBy(index)`` adds them up
-exactly, as decimals.  The number of shards is a parameter of the model,
-so neither the order of the rows nor the sums depend on the cluster.  The weight vector -- the model, as
+The rows lie in blocks (``csr``).  Each epoch hands the current weights to
+the tasks; every block runs the online PA-I updates over its own rows, in
+an order drawn from (seed, epoch, block), and emits its weights in
+proportion to its rows; they are added up as fixed-point numbers, exactly
+and so in any order.  Number, content and order of the
+blocks follow from the rows alone, so the model depends neither on
+partitions nor on Arrow's batch size.  The weight vector -- the model, as
 long as the vocabulary -- is the only thing that reaches the driver.
 Scoring is a join of the long bag with the weight table and a sum per
 article, all JVM-side.
@@ -24,8 +25,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sifter.operators import csr
 
-INTERCEPT = -1  # index of the intercept in the emitted rows
+
+#: Fixed-point unit of the sums (1.4e-14), and the largest value that they hold.
+FIXED = float(1 << 46)
+LARGEST = 1e5
 
 
 def sparse_rows(long: DataFrame, index: DataFrame, labels: DataFrame | None = None,
@@ -47,7 +52,6 @@ def sparse_rows(long: DataFrame, index: DataFrame, labels: DataFrame | None = No
 class PAModel:
     weights: DataFrame  # (idx, w)
     bias: float
-    shards: int = 16
 
     def decision(self, long: DataFrame, index: DataFrame, articles: DataFrame,
                  id_col: str = "id") -> DataFrame:
@@ -63,70 +67,58 @@ class PAModel:
         return d.withColumn(out_col, F.tanh(F.col("margin") / 2.0)).drop("margin")
 
 
-def _epoch_fn(w: np.ndarray, b: float, C: float, seed: int):
-    """One shard's pass: rows in a seeded order within each Arrow batch,
-    batches in order, so a batch at a time is in memory."""
-    def run(batches):
-        ws, bs, n, loss = w.copy(), b, 0, 0.0
-        for k, pdf in enumerate(batches):
-            idx_col, val_col, y_col = pdf["idx"].to_numpy(), pdf["val"].to_numpy(), pdf["y"].to_numpy(float)
-            for i in np.random.default_rng((seed, k)).permutation(len(pdf)):
-                idx, val, y = np.asarray(idx_col[i], np.int64), np.asarray(val_col[i], float), y_col[i]
-                hinge = max(0.0, 1.0 - y * (float(ws[idx] @ val) + bs))
-                loss += hinge
-                if hinge > 0.0:
-                    tau = min(C, hinge / (float(val @ val) + 1.0))
-                    ws[idx] += tau * y * val
-                    bs += tau * y
-            n += len(pdf)
-        if n:
-            nz = np.nonzero(ws)[0]
-            yield pd.DataFrame({"idx": np.concatenate([nz, [INTERCEPT]]).astype(np.int64),
-                                "s": np.concatenate([ws[nz] * n, [bs * n]]),
-                                "n": np.full(len(nz) + 1, n, dtype=np.int64),
-                                "loss": np.full(len(nz) + 1, loss)})
+def _epoch_fn(w: np.ndarray, b: float, C: float, seed: int, epoch: int, total: int):
+    """One block's pass: its share of the mixed weights, intercept and mean
+    loss as fixed-point numbers."""
+    def run(block: csr.Block) -> np.ndarray:
+        ws, bs, loss = w.copy(), b, 0.0
+        order = np.random.default_rng((seed, epoch, int(block.key[0]) & (1 << 63) - 1)).permutation(len(block))
+        for i in order:
+            at = slice(block.ptr[i], block.ptr[i + 1])
+            idx, val, y = block.idx[at], block.val[at], block.y[i]
+            hinge = max(0.0, 1.0 - y * (float(ws[idx] @ val) + bs))
+            loss += hinge
+            if hinge > 0.0:
+                tau = min(C, hinge / (float(val @ val) + 1.0))
+                ws[idx] += tau * y * val
+                bs += tau * y
+        values = np.concatenate([ws, [bs, loss / len(block)]]) * (len(block) / total)
+        if np.abs(values).max() > LARGEST:
+            raise ValueError(f"a weight or loss of {np.abs(values).max():.3g} is beyond {LARGEST}")
+        return np.rint(values * FIXED).astype(np.int64)
     return run
 
 
-def _exact_sum(value: str):
-    """Sum of the shards' values as decimals: the same in any order."""
-    return F.sum(F.col(value).cast("decimal(28,12)")).cast("double")
-
-
 class PassiveAggressive:
     """``epochs``: at most so many; training stops once the mean loss has not
     fallen ``tol`` below its least value for ``patience`` epochs in a row.
-    ``partitions``: the shards, see the module."""
+    ``partitions``: the blocks that learn apart and are mixed (by default one
+    for each ``csr.BLOCK_ROWS`` rows); a parameter of the model."""
 
     def __init__(self, C: float = 1.0, epochs: int = 1000, tol: float = 1e-3, seed: int = 42,
-                 partitions: int = 16, patience: int = 5):
+                 partitions: int | None = None, patience: int = 5):
         self.C, self.epochs, self.tol, self.seed, self.partitions = C, epochs, tol, seed, partitions
         self.patience = patience
 
-    def fit(self, rows: DataFrame, dim: int) -> PAModel:
-        """``rows``: (id, y, idx, val), dealt to shards by id."""
-        spark = rows.sparkSession
-        data = rows.repartition(self.partitions, "id").sortWithinPartitions("id").select("y", "idx", "val").cache()
+    def weights(self, rows: DataFrame, dim: int) -> tuple[np.ndarray, float]:
+        """Weights and intercept from rows (id, y, idx, val)."""
+        data = csr.pack(rows, self.partitions, self.seed)
+        total = csr.n_rows(data)
         w, b, best, waited = np.zeros(dim), 0.0, np.inf, 0
-        for epoch in range(self.epochs):
-            mixed = (data.mapInPandas(_epoch_fn(w, b, self.C, self.seed + epoch),
-                                      "idx long, s double, n long, loss double")
-                     .groupBy("idx").agg(_exact_sum("s").alias("s"), F.sum("n").alias("n"), _exact_sum("loss").alias("loss"))
-                     .toPandas())  # a row for each weight of the model
-            at_bias = mixed["idx"] == INTERCEPT
-            if not at_bias.any():  # no training rows
-                break
-            bias = mixed[at_bias].iloc[0]
-            w = np.zeros(dim)
-            rest = mixed[~at_bias]
-            w[rest["idx"].to_numpy()] = rest["s"].to_numpy() / bias["n"]
-            b, loss = bias["s"] / bias["n"], bias["loss"] / bias["n"]
+        loaded = csr.load(data)
+        for epoch in range(self.epochs if total else 0):
+            run = _epoch_fn(w, b, self.C, self.seed, epoch, total)
+            mixed = loaded.treeAggregate(np.zeros(dim + 2, np.int64), lambda a, block: a + run(block), lambda a, c: a + c) / FIXED
+            w, b, loss = mixed[:dim], float(mixed[dim]), mixed[dim + 1]
             waited = waited + 1 if loss > best - self.tol else 0
             best = min(best, loss)
             if waited >= self.patience:
                 break
-        data.unpersist()
+        loaded.unpersist()
+        return w, b
+
+    def fit(self, rows: DataFrame, dim: int) -> PAModel:
+        w, b = self.weights(rows, dim)
         nz = np.nonzero(w)[0]
-        weights = spark.createDataFrame(
-            pd.DataFrame({"idx": nz.astype(np.int64), "w": w[nz]}), "idx long, w double")
-        return PAModel(weights, float(b), self.partitions)
+        table = pd.DataFrame({"idx": nz.astype(np.int64), "w": w[nz]})
+        return PAModel(rows.sparkSession.createDataFrame(table, "idx long, w double"), b)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,12 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage with a Parquet table below the shared checkpoint folder.
+    Unlike a checkpoint, what is read back has its real size, so joins with
+    it are planned by that."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
