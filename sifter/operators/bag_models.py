@@ -275,3 +275,31 @@ class ForestTable(BagColumns, Estimator, DefaultParamsReadable, DefaultParamsWri
         trees = forest.Forest(**options).fit(csr.pack(rows), len(columns))
         nodes = stage(forest.to_nodes(dataset.sparkSession, trees), "forest-nodes")
         return self._copyValues(ForestTableModel({"nodes": nodes}, {"columns": columns, **options}))
+
+
+# -------------------------------------------------------------------- registry
+
+#: Base models by name: estimator, and the options that it takes.  The forest's
+#: and the meta model's sizes are the reference's.
+_REGISTRY = {
+    "linear": (lambda o: LinearBag(kind="logistic", options=json.dumps(o)), ("C", "tol", "max_iter"), {}),
+    "svm": (lambda o: LinearBag(kind="svm", options=json.dumps(o)), ("C", "tol", "max_iter"), {}),
+    "pa": (lambda o: LinearBag(kind="pa", options=json.dumps(o)), ("C", "epochs", "tol", "seed", "partitions"), {}),
+    "multi_nb": (lambda o: LinearBag(kind="multinomial", options=json.dumps(o)), ("alpha",), {}),
+    "compl_nb": (lambda o: LinearBag(kind="complement", options=json.dumps(o)), ("alpha",), {}),
+    "random_forest": (lambda o: ForestBag(options=json.dumps(o)), ("n_trees", "max_depth", "min_samples_split", "seed"),
+                      {"n_trees": 100, "max_depth": 20, "min_samples_split": 3, "seed": 42}),
+}
+
+
+def estimator(name: str, params: dict | None = None) -> Estimator:
+    """The estimator of base model ``name``; parameters that it doesn't know are
+    those of other models and are left out."""
+    make, known, defaults = _REGISTRY[name]
+    return make(defaults | {k: v for k, v in (params or {}).items() if k in known})
+
+
+def meta_estimator(columns: list[str], n_trees: int = 100, max_depth: int | None = None, seed: int = 0) -> ForestTable:
+    """The meta model: a forest without a limit on its depth."""
+    options = {"n_trees": n_trees, "max_depth": max_depth, "min_samples_split": 2, "seed": seed}
+    return ForestTable(columns=json.dumps(columns), options=json.dumps(options))

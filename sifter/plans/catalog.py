@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -895,9 +896,9 @@ def q_meta_predictions(spark, sf_dir):
     validation split (+1 reliable, -1 fake: labels as +-1, F18)."""
     mi = _inputs(spark, sf_dir)
     val = MD.eval_bags(mi, PLAN.val)
-    wides = MD.stacked_many(mi, {"set2": mi.bags.filter(F.col("trn_split") == 2), "val": val})
-    asm, meta = STK.fit_meta(wides["set2"])
-    return STK.score_meta(asm, meta, wides["val"]).select("id", "type", "preds_meta")
+    wides = MD.stacked_many(mi, {"set2": MD.training_set(mi, 2), "val": val})
+    meta = MD.fit_meta(wides["set2"])
+    return meta.transform(STK.require_scores(wides["val"])).select("id", "type", F.col("score").alias("preds_meta"))
 
 
 @register("dups_without_reliable", "WITH " + FLAGGED_SQL + """
@@ -1032,16 +1033,12 @@ def q_shortened(spark, sf_dir):
 
 @register("model_metrics")
 def q_model_metrics(spark, sf_dir):
-    """Every base model fitted on training set 1 and the lexicon model,
-    scored on the validation split and evaluated in one aggregate keyed by
-    model (M11, M14, A13, A14)."""
+    """Every base model fitted on training set 1, scored on the validation
+    split and evaluated in one aggregate keyed by model (M11, M14, A13,
+    A14)."""
     mi = _inputs(spark, sf_dir)
     val = MD.eval_bags(mi, PLAN.val)
-    longs = None
-    for m in STK.BASE_MODELS:
-        s = MD.base_scores(mi, m, val).select(
-            "id", "type", F.lit(m).alias("model"), "score")
-        longs = s if longs is None else longs.unionByName(s)
+    longs = MD.scores_of(MD.fit_all(mi), val)
     return metric_columns(EV.evaluate(longs, "score", "type", ["model"]), ["model"])
 
 
@@ -1081,6 +1078,73 @@ def q_nb_complement_exact(spark, sf_dir):
         "id", "type", F.round("score", 6).alias("score"))
 
 
+def _unstemmed_inputs(spark, sf_dir):
+    return MD.model_inputs(tables.corpus(spark, sf_dir), PLAN, stem=False,
+                           narrow=tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest))
+
+
+@register("saved_scores", NB_SQL)
+def q_saved_scores(spark, sf_dir):
+    """A model saved as a PipelineModel and read again by its path scores set 2
+    without training (S13, M11): the same scores as the fitted one's."""
+    mi = _unstemmed_inputs(spark, sf_dir)
+    path = scratch_path(spark, "saved-model")
+    PipelineModel([MD.fit_base(mi, "multi_nb")]).write().overwrite().save(path)
+    scored = PipelineModel.load(path).transform(MD.training_set(mi, 2))
+    return scored.select("id", "type", F.round("score", 6).alias("score"))
+
+
+GRADIENT_SQL = NB_SQL[:NB_SQL.index("nf AS (")].rstrip().rstrip(",") + """
+SELECT word, CAST(0 AS DOUBLE) AS slope FROM feat UNION ALL SELECT NULL, CAST(0 AS DOUBLE)"""
+
+
+def _optimum_query(name: str, slope, penalised_bias: bool):
+    def q(spark, sf_dir):
+        mi = _unstemmed_inputs(spark, sf_dir)
+        rows = MD.training_set(mi, 1).select("id", "type", "words")
+        model = MD.fit_base(mi, name)
+        y = F.when(F.col("type") == "reliable", 1.0).otherwise(-1.0)
+        sloped = model.margins(rows).select("words", (slope(y * F.col("margin")) * y).alias("s"))
+        by_word = (sloped.select(F.explode("words").alias("word", "n"), "s").groupBy("word").agg(F.sum(F.col("n") * F.col("s")).alias("g"))
+                   .join(model.tables["weights"], "word", "left").select("word", (F.col("g") + F.coalesce("w", F.lit(0.0))).alias("g")))
+        bias = sloped.agg((F.sum("s") + F.lit(model.facts["bias"] * penalised_bias)).alias("g")).select(F.lit(None).cast("string").alias("word"), "g")
+        return by_word.unionByName(bias).select("word", F.round(F.abs("g"), 4).alias("slope"))
+    q.__doc__ = (f"Model '{name}' at its optimum (M3, M7): the objective's derivative for every word, and for the "
+                 "intercept (null), from its weights and the bags alone; all 0, so the one minimum is found.")
+    return q
+
+
+register("logreg_optimum", GRADIENT_SQL)(_optimum_query("linear", lambda z: -1.0 / (1.0 + F.exp(z)), False))
+register("svm_optimum", GRADIENT_SQL)(_optimum_query("svm", lambda z: -2.0 * F.greatest(1.0 - z, F.lit(0.0)), True))
+
+
+def nb_counts_sql(model: str, sql: str, scored: str) -> str:
+    """Confusion counts of a naive Bayes model on one training set."""
+    body = sql[:sql.rindex("SELECT id, label AS type")]
+    if scored == "train1":  # score the rows that it was fitted on
+        body = body.replace("FROM t2 CROSS JOIN classes", "FROM t1 AS t2 CROSS JOIN classes")
+    return f"""SELECT * FROM ({body}, p AS (
+  SELECT label, CASE WHEN max(r) FILTER (WHERE cls = 'reliable') < max(r) FILTER (WHERE cls = 'fake') THEN 'fake'
+                     ELSE 'reliable' END AS pred FROM raw GROUP BY id, label)
+SELECT '{scored}' AS dataset, '{model}' AS model,
+       count(*) FILTER (WHERE pred = 'fake' AND label = 'fake') AS tp, count(*) FILTER (WHERE pred = 'fake' AND label <> 'fake') AS fp,
+       count(*) FILTER (WHERE pred <> 'fake' AND label = 'reliable') AS tn, count(*) FILTER (WHERE pred <> 'fake' AND label <> 'reliable') AS fn,
+       count(*) AS n, round((count(*) FILTER (WHERE pred = label)) / count(*), 6) AS accuracy FROM p) x"""
+
+
+@register("nb_train_test_metrics", " UNION ALL ".join(
+    nb_counts_sql(m, sql, d) for m, sql in (("multi_nb", NB_SQL), ("compl_nb", CNB_SQL)) for d in ("train1", "train2")))
+def q_nb_train_test_metrics(spark, sf_dir):
+    """Matrix and accuracy of both naive Bayes models on the set that they were
+    fitted on and on the other one, one row each (A15, M11)."""
+    mi = _unstemmed_inputs(spark, sf_dir)
+    fitted = MD.fit_all(mi, ("multi_nb", "compl_nb"))
+    scored = MD.scores_of(fitted, mi.bags.filter("trn_split IN (1, 2)")).join(
+        mi.bags.select("id", F.concat(F.lit("train"), "trn_split").alias("dataset")), "id")
+    m = EV.evaluate(scored, "score", "type", ["dataset", "model"])
+    return m.select("dataset", "model", "tp", "fp", "tn", "fn", "n", F.round("accuracy", 6).alias("accuracy"))
+
+
 @register("stream_clean_labels", "WITH " + CORPUS_SQL + """
 SELECT id, orig_type,
        CASE WHEN orig_type IN ('fake', 'bias', 'junksci', 'hate') THEN 'fake'

@@ -9,18 +9,19 @@ or an evaluation split; the meta model fits on set 2's scores.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.operators import classifiers as CL
+from sifter.operators import bag_models as BM
 from sifter.operators import dedup, labels, splits
 from sifter.operators import features as FE
-from sifter.operators import passive_aggressive as PA
 from sifter.operators import stacking as ST
 from sifter.operators import vocab as V
-from sifter.session import checkpoint
+from sifter.session import stage
 
 
 @dataclass
@@ -47,8 +48,8 @@ def model_inputs(corpus: DataFrame, plan: splits.SplitPlan, stem: bool = True,
     vocab = V.cut(V.materialize(V.to_wide(V.word_counts(long))), head, tail)
     bags = FE.with_bags(train, "id", "content", stem=stem, vocab=vocab, long=long).drop("content")
     # the training table is read by every model fit and scorer: write it
-    # once (reliable checkpoint) instead of re-deriving it from the text
-    return ModelInputs(checkpoint(bags), vocab, df, stem)
+    # once instead of re-deriving it from the text
+    return ModelInputs(stage(bags, "training-bags"), vocab, df, stem)
 
 
 def eval_bags(mi: ModelInputs, split: int) -> DataFrame:
@@ -56,58 +57,44 @@ def eval_bags(mi: ModelInputs, split: int) -> DataFrame:
     return FE.with_bags(rows, "id", "content", stem=mi.stem).drop("content")
 
 
-def fit_base(mi: ModelInputs, name: str, params: dict | None = None):
-    """Fit one base model on training set 1; returns a scorer
-    ``DataFrame(id, words, ...) -> DataFrame(..., score)``."""
-    params = params or {}
-    train = mi.bags.filter(F.col("trn_split") == 1)
-    if name == "pa":
-        return _fit_pa(train, params)
-    cv = CL.fit_vectorizer(train)
-    data = CL.sharded(CL.with_label(CL.vectorize(train, cv)), params.get("shards", CL.SHARDS)).cache()
-    model = CL.fit_model(name, data, params, n_train=data.count())
-    data.unpersist()
-
-    def scorer(df: DataFrame) -> DataFrame:
-        return CL.score(model, CL.vectorize(df, cv), name).drop("features")
-    return scorer
-
-
-def _fit_pa(train: DataFrame, params: dict):
-    long = train.select("id", F.explode("words").alias("word", "n"))
-    # feature index: word -> dense position, ranked bucket by bucket
-    index = splits.dense_index(long, "word").cache()
-    dim = index.count()
-    y = train.select("id", F.when(F.col("type") == "reliable", 1.0).otherwise(-1.0).alias("y"))
-    rows = PA.sparse_rows(long, index, y)
-    model = PA.PassiveAggressive(C=params.get("C", 1.0), epochs=params.get("epochs", 1000),
-                                 tol=params.get("tol", 1e-3), seed=params.get("seed", 42),
-                                 partitions=params.get("shards", CL.SHARDS)).fit(rows, dim)
-
-    def scorer(df: DataFrame) -> DataFrame:
-        lg = df.select("id", F.explode("words").alias("word", "n"))
-        return model.score(lg, index, df)
-    return scorer
+def training_set(mi: ModelInputs, k: int) -> DataFrame:
+    return mi.bags.filter(F.col("trn_split") == k)
+
+
+def fit_base(mi: ModelInputs, name: str, params: dict | None = None) -> Model:
+    """One base model, fitted on training set 1: adds ``score`` to any table
+    with ``id`` and ``words``, and can be saved."""
+    return BM.estimator(name, params).fit(training_set(mi, 1))
+
+
+def fit_all(mi: ModelInputs, models=ST.BASE_MODELS, params: dict | None = None) -> dict[str, Model]:
+    """Every base model, fitted once."""
+    return {m: fit_base(mi, m, (params or {}).get(m)) for m in models}
+
+
+def scores_of(models: dict[str, Model], target: DataFrame) -> DataFrame:
+    """(id, type, model, score) of ``target`` under each model."""
+    longs = [m.transform(target).select("id", "type", F.lit(name).alias("model"), "score") for name, m in models.items()]
+    return reduce(DataFrame.unionByName, longs)
+
+
+def fit_meta(wide: DataFrame, models=ST.BASE_MODELS, n_trees: int = 100, max_depth: int | None = None) -> Model:
+    """The meta model on a wide score table (``stacking.to_wide``); raises if a
+    row lacks a score."""
+    return BM.meta_estimator([ST.pred_col(m) for m in models], n_trees, max_depth).fit(ST.require_scores(wide, models))
 
 
 def base_scores(mi: ModelInputs, name: str, target: DataFrame, params: dict | None = None):
     """(id, type, orig_type, score) of ``target`` under model ``name``."""
-    scorer = fit_base(mi, name, params)
-    return scorer(target).select("id", "type", "orig_type", "score")
+    return fit_base(mi, name, params).transform(target).select("id", "type", "orig_type", "score")
 
 
 def stacked_many(mi: ModelInputs, targets: dict[str, DataFrame], models=ST.BASE_MODELS,
                  params: dict | None = None) -> dict[str, DataFrame]:
     """Wide score tables of several targets; each base model is fitted
     once (on training set 1) and scores every target."""
-    params = params or {}
-    longs: dict[str, DataFrame] = {}
-    for m in models:
-        scorer = fit_base(mi, m, params.get(m))
-        for name, tgt in targets.items():
-            s = scorer(tgt).select("id", F.lit(m).alias("model"), "score")
-            longs[name] = s if name not in longs else longs[name].unionByName(s)
-    return {name: ST.to_wide(longs[name], tgt.select("id", "type", "orig_type"), models)
+    fitted = fit_all(mi, models, params)
+    return {name: ST.to_wide(scores_of(fitted, tgt), tgt.select("id", "type", "orig_type"), models)
             for name, tgt in targets.items()}
 
 
@@ -115,5 +102,5 @@ def stacked(mi: ModelInputs, models=ST.BASE_MODELS, params: dict | None = None,
             target: DataFrame | None = None) -> DataFrame:
     """Wide score table of ``target`` (default: training set 2)."""
     if target is None:
-        target = mi.bags.filter(F.col("trn_split") == 2)
+        target = training_set(mi, 2)
     return stacked_many(mi, {"t": target}, models, params)["t"]
