@@ -19,6 +19,21 @@ def test_run_pipeline(spark, tmp_path):
         for m in (*cfg.models, "simple", "meta"):
             assert (ds, m) in got
     assert spark.read.parquet(f"{cfg.out}/duplicates").count() >= 0
+    # a later session scores from what was saved: the run's own metrics, its training set, and a new table
+    key = lambda r: (r.dataset, r.model)
+    ran = sorted(metrics.collect(), key=key)
+    for ds in ("validation", "statements"):
+        again = sorted(jobs.score_saved(spark, cfg, ds).collect(), key=key)
+        assert again == [r for r in ran if r.dataset == ds]
+    fitted_on = jobs.score_saved(spark, cfg, "train1").collect()
+    n = spark.read.parquet(f"{cfg.out}/training").filter("trn_split = 1").count()
+    assert {r.model for r in fitted_on} == {*cfg.models, "simple", "meta"} and {r.n for r in fitted_on} == {n}
+    assert max(r.accuracy for r in fitted_on) > 0.9
+    rows = jobs.dataset_bags(spark, cfg, "test").limit(3)
+    assert {r.n for r in jobs.score_saved(spark, cfg, "some", rows).collect()} == {rows.count()}
+    assert sorted(spark.read.json(f"{cfg.out}/metrics/test").select("dataset").distinct().collect()) == [("test",)]
+    meta = jobs.PS.load_metadata(spark, f"{cfg.out}/models/pa")
+    assert meta["valset_used"] == cfg.plan.val and meta["params"] == {"epochs": 2}
 
 
 def test_label_stream(spark, tmp_path):
