@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from sifter.functions import clean as C
 from sifter.functions.stem import stem_table
-from sifter.session import checkpoint
+from sifter.operators import bitset
+from sifter.session import checkpoint, stage
 
 
 def with_tokens(df: DataFrame, text_col: str = "content", out_col: str = "tokens",
@@ -41,9 +42,7 @@ def terms(df: DataFrame, id_cols: Sequence[str] = ("id",), text_col: str = "cont
     step into step grows the expression exponentially).  The per-article
     counts are persisted so the text is cleaned once for both uses.  AQE
     broadcasts the stem table when its measured size allows and splits
-    hot-token partitions otherwise.  The stem table is broadcast under a
-    row bound (``sized_broadcast``): then the per-article partitioning
-    survives the join and the re-count per stem needs no exchange.
+    hot-token partitions otherwise.
     """
     cleaned = C.with_clean(df.select(*id_cols, text_col), text_col, "_clean", opts)
     toks = cleaned.select(*id_cols, F.explode(C.tokenize("_clean")).alias("word"))
@@ -54,9 +53,15 @@ def terms(df: DataFrame, id_cols: Sequence[str] = ("id",), text_col: str = "cont
         counted = (counted.join(stems, "word")
                    .groupBy(*id_cols, F.col("stem").alias("word"))
                    .agg(F.sum("n").cast("int").alias("n")))
-    if vocab is not None:
-        counted = counted.join(vocab.select("word"), "word", "left_semi")
-    return counted
+    return counted if vocab is None else in_vocabulary(counted, vocab)
+
+
+def in_vocabulary(long: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The rows whose word is in the vocabulary (J6).  A bit set of its words
+    drops most others inside the article, so the semi join on the word, which
+    decides, exchanges the kept rows and the false hits only."""
+    words = stage(vocab.select("word"), "vocabulary")
+    return bitset.prefilter(long, "word", words).join(words, "word", "left_semi")
 
 
 def bag_map(long: DataFrame, id_col: str = "id") -> DataFrame:
@@ -75,7 +80,7 @@ def with_bags(df: DataFrame, id_col: str = "id", text_col: str = "content",
     if long is None:
         long = terms(df, (id_col,), text_col, stem, vocab)
     elif vocab is not None:
-        long = long.join(vocab.select("word"), "word", "left_semi")
+        long = in_vocabulary(long, vocab)
     bags = bag_map(long.select(id_col, "word", "n"), id_col)
     empty = F.create_map().cast("map<string,int>")
     return (df.join(bags, id_col, "left")

@@ -30,7 +30,7 @@ from sifter.operators import vocab as V
 from sifter.plans import modeling as MD
 from sifter.session import ensure_checkpoint_dir
 from sifter.sources import files as FI
-from sifter.sources import tables
+from sifter.sources import landing, tables
 from sifter.streaming import scoring as SS
 
 
@@ -97,22 +97,18 @@ def kept_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest))
 
 
-def deduped_split_corpus(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
-    """Kept, de-duplicated articles with their balanced split.  The text
-    is distributed by id once; duplicate digests and split ranks come
-    from a narrow read and reach the text only as id lists."""
-    wide = kept_corpus(spark, sf_dir)
-    firsts = dedup.first_ids(kept_digests(spark, sf_dir))
-    deduped = wide.join(firsts, "id", "left_semi")
-    out = splits.assign_splits(deduped, ids=firsts)
-    # Kept lazy for a single consumer: the text then stays partitioned by
-    # id and per-article aggregates need no exchange.  ``shared=True``
-    # (several branches read the text: summaries, model inputs) persists
-    # it instead -- memory spilling to disk, rebuilt from lineage if an
-    # executor is lost -- trading one shuffle of per-article partial
-    # counts (a cached scan reports no partitioning) for re-reading and
-    # re-shuffling the text per branch.  Whole runs write this stage as
-    # Parquet (``jobs.run_pipeline``).
+def deduped_split_corpus(spark: SparkSession, sf_dir: str, shared: bool = False, only=None) -> DataFrame:
+    """Kept, de-duplicated articles with their balanced split, distributed
+    by id.  Labels, duplicates and splits are decided without texts
+    (``landing``); only the kept texts are distributed, once.  ``only``:
+    narrows the ids further before any text moves."""
+    ids = landing.article_ids(kept_digests(spark, sf_dir))
+    docs = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    out = landing.kept_texts(docs, only(ids) if only else ids)
+    # ``shared=True`` (several branches read the text: summaries, model
+    # inputs) persists it -- memory spilling to disk, rebuilt from lineage if
+    # an executor is lost.  Whole runs write this stage as Parquet
+    # (``jobs.run_pipeline``).
     return out.persist(StorageLevel.MEMORY_AND_DISK) if shared else out
 
 
@@ -333,7 +329,7 @@ vocab AS (
 def train_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label-filtered, de-duplicated articles with a balanced split,
     training splits only (the word table's input)."""
-    return splits.train_rows(deduped_split_corpus(spark, sf_dir), PLAN)
+    return deduped_split_corpus(spark, sf_dir, only=lambda ids: splits.train_rows(ids, PLAN))
 
 
 def train_wide(spark, sf_dir, stem=False):
@@ -391,6 +387,14 @@ def q_word_counts(spark, sf_dir):
     return V.word_counts(long)
 
 
+@register("landed_word_counts", "WITH " + TRAIN_SQL + " SELECT type, word, n_docs, n_total FROM counts")
+def q_landed_word_counts(spark, sf_dir):
+    """Word counts (A1) from a corpus landed once in buckets of the id (S7, S9,
+    C1): counting words by article exchanges no text."""
+    landed = landing.land_bucketed(deduped_split_corpus(spark, sf_dir), scratch_path(spark, "landed"))
+    return V.word_counts(FE.terms(splits.train_rows(landed, PLAN), ("id", "type"), stem=False))
+
+
 @register("word_counts_stemmed")
 def q_word_counts_stemmed(spark, sf_dir):
     """Word counts per label on stemmed tokens (A1 + F4, merge='exact')."""
