@@ -27,7 +27,7 @@ from sifter.operators import splits
 from sifter.session import ensure_checkpoint_dir, stage
 
 #: Rows of a block, on average.
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 
 _FIELDS = (("key", "<i8"), ("y", "<f8"), ("ptr", "<i8"), ("idx", "<i4"), ("val", "<f8"))
 SCHEMA = "block int, " + ", ".join(f"{name} binary" for name, _ in _FIELDS)

@@ -32,8 +32,9 @@ from sifter.operators import csr
 
 #: Lengths of a step that its last job compares.
 LENGTHS = np.array([1.0, 8.0, 4.0, 2.0, 1.5, *(0.75 ** np.arange(1.0, 40.0))])
-#: Columns of a block that are multiplied out at a time.
-CHUNK = 4096
+#: Entries of a rare column, and frequent columns that are multiplied out at a time.
+RARE = 8
+CHUNK = 1024
 
 
 def logistic(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,15 +68,29 @@ class Rows:
 
 
 def with_products(block: csr.Block) -> Rows:
-    row = block.row()
-    out = np.ones((len(block), len(block)), np.float32)
+    """Rare columns add their pairs of entries, frequent ones are multiplied out
+    as dense matrices, ``CHUNK`` columns at a time."""
+    n = len(block)
     order = np.argsort(block.idx, kind="stable")
-    idx, val, row = block.idx[order], block.val[order], row[order]
-    number = np.unique(idx, return_inverse=True)[1]  # the block's own columns
-    for lo in range(0, int(number.max(initial=-1)) + 1, CHUNK):
-        a, b = np.searchsorted(number, (lo, lo + CHUNK))
-        part = np.zeros((len(block), CHUNK), np.float32)
-        part[row[a:b], number[a:b] - lo] = val[a:b]
+    val, row = block.val[order], block.row()[order]
+    number, count = np.unique(block.idx[order], return_inverse=True, return_counts=True)[1:]
+    first = np.cumsum(count) - count
+    out = np.ones(n * n, np.float32)
+    for k in range(1, RARE + 1):
+        at = first[count == k][:, None] + np.arange(k)  # the entries of the columns that have k
+        for i in range(k):
+            out += np.bincount((row[at[:, i], None] * n + row[at]).ravel(), (val[at[:, i], None] * val[at]).ravel(), n * n) \
+                if len(at) else 0.0
+    out = out.reshape(n, n)
+    often = np.flatnonzero(count > RARE)
+    place = np.full(len(count), -1)
+    place[often] = np.arange(len(often))
+    entry = np.flatnonzero(place[number] >= 0)
+    column = place[number[entry]]
+    for lo in range(0, len(often), CHUNK):
+        a, b = np.searchsorted(column, (lo, lo + CHUNK))
+        part = np.zeros((n, CHUNK), np.float32)
+        part[row[entry[a:b]], column[a:b] - lo] = val[entry[a:b]]
         out += part @ part.T
     return Rows(block, out)
 
@@ -156,7 +171,7 @@ def _penalty(dim: int, problem: Problem) -> np.ndarray:
     return counted
 
 
-def newton_step(gradient: np.ndarray, product, inverse, accuracy: float = 0.05) -> np.ndarray:
+def newton_step(gradient: np.ndarray, product, inverse, accuracy: float = 0.2) -> np.ndarray:
     """Solves Hessian * s = -gradient by preconditioned conjugate gradients, to
     an accuracy relative to the start."""
     s, r = np.zeros_like(gradient), -gradient
