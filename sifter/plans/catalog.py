@@ -938,6 +938,42 @@ def q_csv_roundtrip(spark, sf_dir):
     return kept.select("id", "domain", "orig_type", "type", F.md5("content").alias("content_md5"))
 
 
+@register("csv_accounting", "WITH " + CORPUS_SQL + "," + SPLITS_SQL + """,
+st AS (
+  SELECT CASE WHEN c.orig_type = '' THEN 'excluded' WHEN s.split IN (1, 2) THEN 'ignored' ELSE 'included' END AS status
+  FROM corpus c JOIN split_ids s ON c.id = s.id
+  UNION ALL SELECT 'skipped' FROM corpus WHERE orig_type IN ('hate', 'junksci')
+)
+SELECT count(*) FILTER (WHERE status = 'included') AS included, count(*) FILTER (WHERE status = 'excluded') AS excluded,
+       count(*) FILTER (WHERE status = 'ignored') AS ignored, count(*) FILTER (WHERE status = 'skipped') AS skipped
+FROM st""")
+def q_csv_accounting(spark, sf_dir):
+    """Raw CSV with bad records landed in one pass, by status (S3, S4, P6):
+    every hateful article stands in it a second time with an id that is no
+    number, every junk article as a record of two columns."""
+    c = tables.corpus(spark, sf_dir).withColumnRenamed("orig_type", "type")
+    path = scratch_path(spark, "raw-csv")
+    no_number = c.filter("type = 'hate'").withColumn("id", F.concat(F.lit("id "), "id"))
+    FI.write_corpus_csv(c.withColumn("id", F.col("id").cast("string")).unionByName(no_number), f"{path}/whole")
+    FI.write_corpus_csv(c.filter("type = 'junksci'"), f"{path}/short", FI.CORPUS_COLUMNS[:2])
+    held_out = splits.split_ids(tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))).filter("split IN (1, 2)")
+    _, account = FI.land_corpus_csv(spark, f"{path}/*", scratch_path(spark, "landed-csv"), held_out)
+    return account
+
+
+@register("statements_tsv", r"""
+SELECT row_number() OVER (ORDER BY d.doc_id) - 1 AS id,
+       CASE WHEN l.doc_id IS NULL THEN 'half-true' WHEN l.toxic = 1 THEN 'pants-fire' WHEN l.quality = 0 THEN 'false' ELSE 'true' END AS orig_type,
+       md5(regexp_replace(d.text, '[\t\r\n]', ' ', 'g')) AS content_md5
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def q_statements_tsv(spark, sf_dir):
+    """Second corpus written as TSV files and read back (S5): the ids are the
+    record numbers in file order, over several files."""
+    path = scratch_path(spark, "statements-tsv")
+    FI.write_statements_tsv(tables.statements(spark, sf_dir), path)
+    return FI.read_statements_tsv(spark, path).select("id", "orig_type", F.md5("content").alias("content_md5"))
+
+
 @register("literal_map_roundtrip", "WITH " + DOC_TERMS_SQL + " SELECT id, word, n FROM dterms")
 def q_literal_map_roundtrip(spark, sf_dir):
     """Bags stored as dict text and parsed back."""

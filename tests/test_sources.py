@@ -95,3 +95,85 @@ def test_model_persistence(spark, tmp_path):
 def test_row_cap(spark):
     df = spark.createDataFrame([(i,) for i in (5, 3, 9, 1)], "id long")
     assert [r.id for r in FI.row_cap(df, 2).collect()] == [1, 3]
+
+
+def test_statement_ids_are_record_numbers(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = [(i * 3, "true" if i % 2 else "false", f"statement {i} " + "x" * (i % 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, orig_type string, content string").repartition(7)
+    FI.write_statements_tsv(df.withColumn("content", df.content), str(tmp_path / "tsv"), files=3)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # several blocks a file
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        read = FI.read_statements_tsv(spark, str(tmp_path / "tsv"))
+        assert spark.read.text(str(tmp_path / "tsv")).rdd.getNumPartitions() > 5
+        got = sorted(map(tuple, read.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [(n, t, c) for n, (_, t, c) in enumerate(rows)]
+
+
+def test_tsv_of_odd_records(spark, tmp_path):
+    p = tmp_path / "odd.tsv"
+    p.write_text("1\ttrue\tfirst\n\n2\tfalse\n3\t\tno label\tmore\n")
+    got = sorted(map(tuple, FI.read_statements_tsv(spark, str(p)).collect()))
+    assert got == [(0, "true", "first"), (1, "false", None), (2, None, "no label")]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.tsv").write_text("")
+    assert FI.read_statements_tsv(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_csv_landed_by_status(spark, tmp_path):
+    head = ",".join(FI.CORPUS_COLUMNS)
+    line = lambda i, t, text: f"0,{i},d,{t},u,\"{text}\"" + "," * 11
+    p = tmp_path / "raw.csv"
+    p.write_text("\n".join([head, line(1, "fake", 'a ""b""\nc'), line(2, "satire", "x"), line("no", "fake", "y"), "0,4",
+                            line(5, "opinion", "z"), line(6, "reliable", "held"), line(7, "reliable", "w")]) + "\n")
+    held = spark.createDataFrame([(6,), (2,)], "id long")
+    landed, account = FI.land_corpus_csv(spark, str(p), str(tmp_path / "out"), held)
+    assert account.first().asDict() == {"included": 2, "excluded": 1, "ignored": 1, "skipped": 3}
+    assert {(r.id, r.content) for r in landed.filter("status = 'included'").collect()} == {(1, 'a "b"\nc'), (7, "w")}
+    assert (tmp_path / "out" / "status=skipped").is_dir()
+
+
+def test_landed_buckets_need_no_exchange(spark, tmp_path):
+    from sifter.operators import features as FE
+    from sifter.operators import vocab as V
+    from sifter.sources import landing
+    rows = [(i, "fake" if i % 2 else "reliable", f"word{i % 7} and word{i % 3}") for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, type string, content string")
+    path = str(tmp_path / "landed")
+    landed = landing.land_bucketed(df, path, buckets=8)
+    again = landing.open_bucketed(spark, path, buckets=8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table in (landed, again):
+            assert sorted(map(tuple, table.select("id", "type", "content").collect())) == rows
+            counts = V.word_counts(FE.terms(table, ("id", "type"), stem=False))
+            plan = counts._jdf.queryExecution().executedPlan().toString()
+            exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+            assert len(exchanges) == 1 and "word" in exchanges[0] and "content" not in exchanges[0]
+            side = spark.range(50)
+            joined = table.join(side, "id")._jdf.queryExecution().executedPlan().toString()
+            assert sum("Exchange" in x for x in joined.splitlines()) == 1  # of the narrow side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_texts_that_may_be_kept_move(spark):
+    from sifter.operators import bitset
+    from sifter.sources import landing
+    docs = spark.range(5000).selectExpr("id", "concat('text ', id) AS content").unionByName(
+        spark.createDataFrame([(None, "no id")], "id long, content string"))
+    ids = spark.createDataFrame([(i, i % 3) for i in range(0, 5000, 50)] + [(99_999, 0)], "id long, split int")
+    maybe = bitset.prefilter(docs, "id", ids)
+    kept = {r.id for r in maybe.collect()}
+    assert set(range(0, 5000, 50)) <= kept and len(kept) < 130
+    got = landing.kept_texts(docs, ids).collect()
+    assert sorted((r.id, r.content, r.split) for r in got) == [(i, f"text {i}", i % 3) for i in range(0, 5000, 50)]
+    assert bitset.prefilter(docs, "id", ids.limit(0)).count() == 0
+    assert bitset.bits_for(0) == bitset.LEAST_BITS and bitset.bits_for(10**9) == bitset.MOST_BITS
+    words = spark.createDataFrame([("a",), ("b",)], "word string")
+    assert {r.word for r in bitset.prefilter(words.unionByName(words), "word", words.limit(1), n_bits=1 << 16).collect()} == {"a"}
