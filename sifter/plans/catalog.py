@@ -938,6 +938,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return kept.select("id", "domain", "orig_type", "type", F.md5("content").alias("content_md5"))
 
 
+@register("csv_parallel_read", "WITH " + KEPT_SQL + """
+SELECT id, domain, orig_type, type, md5(content) AS content_md5 FROM kept""")
+def q_csv_parallel_read(spark, sf_dir):
+    """Corpus CSV scan (S1) with records found by quote parity, so that many
+    tasks read one multi-line file."""
+    c = tables.corpus(spark, sf_dir).withColumnRenamed("orig_type", "type")
+    path = scratch_path(spark, "corpus-csv")
+    FI.write_corpus_csv(c, path)
+    rows, _rejects = FI.read_corpus_csv(spark, path, parallel=True)
+    kept, _ = labels.reduce_corpus(rows)
+    return kept.select("id", "domain", "orig_type", "type", F.md5("content").alias("content_md5"))
+
+
 @register("csv_accounting", "WITH " + CORPUS_SQL + "," + SPLITS_SQL + """,
 st AS (
   SELECT CASE WHEN c.orig_type = '' THEN 'excluded' WHEN s.split IN (1, 2) THEN 'ignored' ELSE 'included' END AS status

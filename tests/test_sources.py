@@ -177,3 +177,46 @@ def test_only_texts_that_may_be_kept_move(spark):
     assert bitset.bits_for(0) == bitset.LEAST_BITS and bitset.bits_for(10**9) == bitset.MOST_BITS
     words = spark.createDataFrame([("a",), ("b",)], "word string")
     assert {r.word for r in bitset.prefilter(words.unionByName(words), "word", words.limit(1), n_bits=1 << 16).collect()} == {"a"}
+
+
+def test_records_by_quote_parity(spark, tmp_path):
+    import csv
+    import io
+    import random
+
+    from sifter.sources import numbered
+    rnd = random.Random(6)
+    pieces = ["plain", 'say ""hi""', "two\nlines", "a,b", "", "\n\n", "x" * 300, "é日本", '""', "tail\r\nend"]
+    expected = {}
+    for name in ("a.csv", "b.csv", "empty.csv"):
+        rows = []
+        for i in range(0 if name == "empty.csv" else 300):
+            text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 4))).replace('""', '"')
+            rows.append([str(len(expected)), name, text])
+            expected[len(expected)] = (name, text or None)
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as f:
+            f.write("id,domain,content\n")
+            csv.writer(f, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows(rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        records = numbered.quoted_records(spark, str(tmp_path)).filter("NOT first")
+        got = [next(csv.reader(io.StringIO(r.record, newline=""))) for r in records.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(got) == 600
+    assert {int(i): (d, t or None) for i, d, t in got} == {k: (n, t) for k, (n, t) in expected.items()}
+
+
+def test_parallel_csv_equals_the_whole_file_reader(spark, tmp_path):
+    head = ",".join(FI.CORPUS_COLUMNS)
+    line = lambda i, t, text: f"0,{i},d,{t},u,\"{text}\"" + "," * 11
+    p = tmp_path / "raw.csv"
+    p.write_text("\n".join([head, line(1, "fake", 'a ""b""\nc\n\nd'), line(2, "satire", ""), line("no", "fake", "y"), "0,4",
+                            "", line(5, "opinion", "z,z"), line(6, "reliable", "'")]) + "\n")
+    for plain, parallel in zip(FI.read_corpus_csv(spark, str(p)), FI.read_corpus_csv(spark, str(p), parallel=True)):
+        columns = [c for c in plain.columns if c != FI.CORRUPT]
+        assert sorted(map(str, plain.select(columns).collect())) == sorted(map(str, parallel.select(columns).collect()))
