@@ -28,6 +28,7 @@ from sifter.operators import stacking as STK
 from sifter.operators import summary as SU
 from sifter.operators import vocab as V
 from sifter.plans import modeling as MD
+from sifter.plans.porter_sql import stems_cte
 from sifter.session import ensure_checkpoint_dir
 from sifter.sources import files as FI
 from sifter.sources import landing, tables
@@ -299,6 +300,21 @@ wide AS (
 )"""
 
 
+_ALL_TOKENS = "SELECT DISTINCT unnest(" + C.tokens_sql(C.clean_sql("content")) + ") AS word FROM dsplit"
+
+
+def stemmed_sql(sql: str) -> str:
+    """An oracle over ``TRAIN_SQL`` with its words, and those of the evaluation
+    rows, stemmed before they are counted."""
+    at = sql.index("terms AS (SELECT type, id, word,")
+    sql = sql[:at] + stems_cte(_ALL_TOKENS) + ",\n" + sql[at:]
+    sql = sql.replace("terms AS (SELECT type, id, word, CAST(count(*) AS INTEGER) AS n FROM toks GROUP BY type, id, word)",
+                      "terms AS (SELECT type, id, stem AS word, CAST(count(*) AS INTEGER) AS n FROM toks JOIN stems ON toks.word = stems.word "
+                      "GROUP BY type, id, stem)")
+    return sql.replace("AS word FROM evalrows) GROUP BY id, word", "AS form FROM evalrows) e JOIN stems ON e.form = stems.word GROUP BY id, stem") \
+              .replace("eterms AS (\n  SELECT id, word,", "eterms AS (\n  SELECT id, stem AS word,")
+
+
 def cut_sql(head: float, tail: float) -> str:
     """Cut bounds as prefix sums over words (not over a histogram)."""
     return f""",
@@ -370,7 +386,8 @@ def q_tokenize(spark, sf_dir):
                        F.posexplode(C.tokenize(C.clean_text("text"))).alias("pos", "token"))
 
 
-@register("stem_tokens")
+@register("stem_tokens", "WITH " + stems_cte("SELECT DISTINCT unnest(" + C.tokens_sql(C.clean_sql("text")) + ") AS word FROM documents") + """
+SELECT word AS token, stem FROM stems""")
 def q_stem_tokens(spark, sf_dir):
     """Porter stems (F4) of every distinct token of the corpus."""
     docs = tables.read_table(spark, sf_dir, "documents")
@@ -395,7 +412,7 @@ def q_landed_word_counts(spark, sf_dir):
     return V.word_counts(FE.terms(splits.train_rows(landed, PLAN), ("id", "type"), stem=False))
 
 
-@register("word_counts_stemmed")
+@register("word_counts_stemmed", "WITH " + stemmed_sql(TRAIN_SQL) + " SELECT type, word, n_docs, n_total FROM counts")
 def q_word_counts_stemmed(spark, sf_dir):
     """Word counts per label on stemmed tokens (A1 + F4, merge='exact')."""
     long = FE.terms(train_corpus(spark, sf_dir), ("type", "id"), stem=True)
@@ -482,7 +499,8 @@ def q_bag_of_words(spark, sf_dir):
     return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=False)
 
 
-@register("bag_of_words_stemmed")
+@register("bag_of_words_stemmed", "WITH " + DOC_TERMS_SQL + ", " + stems_cte("SELECT DISTINCT word FROM dterms") + """
+SELECT id, stem AS word, CAST(sum(n) AS INTEGER) AS n FROM dterms JOIN stems ON dterms.word = stems.word GROUP BY id, stem""")
 def q_bag_of_words_stemmed(spark, sf_dir):
     """Bag of words with Porter stems (F6) in long form."""
     return FE.terms(doc_corpus(spark, sf_dir), ("id",), stem=True)
@@ -1136,6 +1154,11 @@ def _unstemmed_inputs(spark, sf_dir):
                            narrow=tables.corpus(spark, sf_dir, distribute=False, text_key=dedup.prefix_digest))
 
 
+# the same naive Bayes models on stems, registered above
+for _name, _sql in (("nb_multinomial", NB_SQL), ("nb_complement", CNB_SQL)):
+    REGISTRY[_name].sql = stemmed_sql(_sql)
+
+
 @register("saved_scores", NB_SQL)
 def q_saved_scores(spark, sf_dir):
     """A model saved as a PipelineModel and read again by its path scores set 2
@@ -1328,7 +1351,7 @@ def q_whole_run_metrics(spark, sf_dir):
 
 
 
-@register("lexicon_scores_stemmed")
+@register("lexicon_scores_stemmed", "WITH " + stemmed_sql(LEX_SQL) + "," + EVAL_METRICS_SQL)
 def q_lexicon_scores_stemmed(spark, sf_dir):
     """The lexicon model as the reference runs it (A6-A12 on stems): a
     stemmed, cut vocabulary over all training splits, scoring stemmed
