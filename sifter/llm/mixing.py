@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.columns import document
 from sifter.llm.stage import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -133,11 +132,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: a document that is taken
-    twice is there twice, one that isn't taken not at all.  Rows equal in id
-    and text are one document that is taken as often as all of them."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       document(id_col, text_col).alias("doc"), F.col(text_col).alias("text"),
-                       F.col(source_col).alias("source"))
+    twice is there twice, one that isn't taken not at all.  Rows that differ in
+    any column are documents of their own; rows equal in all columns are one
+    that is taken as often as all of them."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+    rows = docs.select(row.alias("row"), F.struct(F.col(id_col).alias("id"), whole.alias("key")).alias("doc"),
+                       F.col(text_col).alias("text"), F.col(source_col).alias("source"))
     taken = (mix(rows, "doc", "text", "source", **options).filter("taken > 0")
              .groupBy("doc").agg(F.sum(F.expr("taken div size")).alias("times")))
     return (rows.select("row", "doc").join(taken, "doc").dropDuplicates(["doc"])

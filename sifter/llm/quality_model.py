@@ -197,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     ["h", "y", "x"])
 
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(chosen), "id")  # at most max_train rows
+            .join(F.broadcast(chosen), "id")
+            .groupBy("id", "y").agg(F.min("text").alias("text"))  # a row for each id: at most max_train
             .select(F.xxhash64("id").alias("h"), "y", "text")
             .mapInArrow(pool, "h long, y double, x array<float>").toArrow())
     h, y = rows.column("h").to_numpy(), rows.column("y").to_numpy()
