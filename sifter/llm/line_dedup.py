@@ -12,17 +12,21 @@ first document of each line.
 
 Pairs: lines of one document align with none, so documents whose shared
 lines and gaps are the same (a form) are compared once.  A form is aligned
-with the first holder and the one just before of each anchor and of each
-run from anchor to anchor, at most two rows an occurrence.  Lines that
-this leaves but that an earlier document has are then compared with every
-earlier form that holds them, so the result is that of all pairs; this
-last step grows as the left lines times their holders.
+with the first holder of each anchor, of each run from anchor to anchor and
+of each run from an anchor to a short line beside it.  Lines that this
+leaves but that an earlier document has are then tried with a hashed share
+of the other holders of their line or run, about ``TRIES`` of them, eight
+times as many in each round, and with all in the last; a short line between
+two anchors with the earlier documents that have one of its anchors before
+it and one after it.  The result is that of all pairs; few lines outlast
+the first rounds, and those are mostly lines with few earlier holders.
 
 Scale: the text is read three times and shuffled once, when the deletions meet
-it; everything else moves line hashes.  Joins on line hashes are sort-merge
-joins that adaptive execution may split at a hot line; only the forms that
-hold one line are sorted together, by a window, to find the one before.
-The work on one row is bounded by the lines of two documents.
+it; everything else moves line hashes.  A line's first holder and their
+number come from one aggregate; joins on line hashes are sort-merge joins that
+adaptive execution may split at a hot line, so the holders of a line are never
+in one task together.  The work on one row is bounded by the lines of two
+documents.
 
 Results defined for odd input: a null text stays null and an empty one
 empty; a null id is ordered first; rows equal in id and text are one
@@ -36,9 +40,10 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.columns import at, document, let, split_words, upto
@@ -46,6 +51,8 @@ from sifter.llm.stage import staged
 
 #: Words of a line that counts as shared content.
 LEAST_WORDS = 5
+#: Holders of a line that the first round of the search tries.
+TRIES = 8
 
 
 def longest_ascent(values: list[int]) -> list[int]:
@@ -232,6 +239,82 @@ def aligned_cuts(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .select("doc", F.explode("cut").alias("at")).distinct())
 
 
+#: What a key stands for: a short line, an anchor, the lines from an anchor to
+#: the next one, the lines from an anchor to a short line beside it.
+SHORT, ANCHOR, BETWEEN, BESIDE = range(4)
+
+
+def _chain(before: bytes, line: tuple[int, int] | int) -> bytes:
+    return blake2b(before + repr(line).encode(), digest_size=12).digest()
+
+
+def keys_of(x: list[dict]) -> set[tuple[int, int, int, int, int]]:
+    """(kind, h, g, and the line at its end) of the lines of a profile and of
+    the runs of lines that begin at an anchor, gaps included."""
+    lines, long = _coded(x, 0), [e is not None and e["long"] for e in _spread(x)]
+    found = {(ANCHOR if is_long else SHORT, *line, *line) for line, is_long in zip(lines, long, strict=True) if line != 0}
+    for way in (1, -1):
+        run = None
+        for line, is_long in zip(lines[::way], long[::way], strict=True):
+            run = run and _chain(run, line)
+            if run and line != 0 and (way == 1 or not is_long):
+                h, g = (int.from_bytes(part, "little", signed=True) for part in (run[:8], run[8:]))
+                found.add((BETWEEN if is_long else BESIDE, h, g, *line))
+            if is_long:
+                run = _chain(b"%d" % way, line)
+    return found
+
+
+KEYS = (("kind", pa.int32()), ("h", pa.int64()), ("g", pa.int32()), ("line_h", pa.int64()), ("line_g", pa.int32()))
+
+
+def _rows(batch: pa.RecordBatch, found: list, fields: tuple) -> pa.RecordBatch:
+    """A row for each tuple found in each row, after the row's document."""
+    docs = pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int64())
+    cols = [pa.array([r[k] for rows in found for r in rows], kind) for k, (_, kind) in enumerate(fields)]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(docs), *cols], ["doc", *(name for name, _ in fields)])
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _rows(batch, [keys_of(x) for x in batch.column(1).to_pylist()], KEYS)
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors (h, g) before and after each short line asked for."""
+    for batch in batches:
+        found = []
+        for x, asked in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            at_of: dict = {(s["h"], s["g"]): [] for s in asked}
+            for e in x:
+                if (e["h"], e["g"]) in at_of:
+                    at_of[e["h"], e["g"]].append(e["at"])
+            found.append({(side, e["h"], e["g"], *s) for s, own in at_of.items() for e in x if e["long"]
+                          for side in (0, 1) if (e["at"] < own[-1] if side == 0 else e["at"] > own[0])})
+        yield _rows(batch, found, KEYS)
+
+
+def between_anchors(short: DataFrame, lines: DataFrame, reps: DataFrame) -> DataFrame:
+    """(doc, other): for each short line (doc, h, g), the earlier documents that
+    have it after one and before another of the document's anchors around it,
+    found through the side whose anchors are rarer."""
+    kind, line, anchor = reps.schema["doc"].dataType.simpleString(), ["line_h", "line_g"], ["h", "g"]
+    asked = (lines.filter(F.col("kind") == SHORT).join(short.select(*anchor).distinct(), anchor, "left_semi")
+             .groupBy("doc").agg(F.collect_list(F.struct(*anchor)).alias("asked")))
+    sides = staged(reps.join(asked, "doc").select("doc", "x", "asked")
+                   .mapInArrow(_sides, f"doc {kind}, kind int, h long, g int, line_h long, line_g int"), "line-sides")
+    own = sides.join(short.select("doc", F.col("h").alias("line_h"), F.col("g").alias("line_g")), ["doc", *line], "left_semi")
+    holders = sides.groupBy("kind", *anchor, *line).agg(F.count("*").alias("n"))
+    rarer = (own.join(holders, ["kind", *anchor, *line]).groupBy("doc", *line, "kind").agg(F.sum("n").alias("n"))
+             .groupBy("doc", *line).agg(F.min(F.struct("n", "kind")).alias("side"), F.count("*").alias("sides"))
+             .filter("sides = 2").select("doc", *line, F.col("side.kind").alias("kind")))
+    there = sides.withColumnRenamed("doc", "other")
+    one = (own.join(rarer, ["doc", *line, "kind"]).join(there, ["kind", *anchor, *line])
+           .filter(F.col("other") < F.col("doc")).select("doc", *line, "kind", "other").distinct())
+    both = one.withColumn("kind", 1 - F.col("kind")).join(own, ["doc", *line, "kind"])
+    return both.join(there, ["other", "kind", *anchor, *line], "left_semi").select("doc", "other").distinct()
+
+
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc, cut): the positions of the lines that align with any earlier
@@ -239,41 +322,40 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = profiles(docs, id_col, text_col, least_words)
     # lines of one document only align with none: a document aligns alike with all of a form
     reps = staged(classes.filter(F.col("doc") == F.col("rep")).select("doc", "x"), "line-reps")
+    kind = reps.schema["doc"].dataType.simpleString()
     again = (classes.filter(F.col("doc") != F.col("rep")).select("doc", "x", F.col("x").alias("same"))
-             .mapInArrow(_blocks, f"doc {reps.schema['doc'].dataType.simpleString()}, cut array<int>")
+             .mapInArrow(_blocks, f"doc {kind}, cut array<int>")
              .select("doc", F.explode("cut").alias("at")))
 
-    ends = F.concat(F.array(F.lit(0)), F.filter(upto(F.size("x")), lambda i: at(F.col("x"), i)["long"]),
-                    F.array(F.size("x") - 1))
-    runs = let(ends, lambda b: F.transform(upto(F.size(b) - 1), lambda i: F.struct(
-        F.xxhash64(F.transform(F.slice(F.col("x"), at(b, i) + 1, at(b, i + 1) - at(b, i) + 1),
-                               lambda e: F.struct(e["h"], e["g"]))).alias("h"),
-        F.lit(None).cast("int").alias("g"), F.lit(False).alias("long"))))
-    lines = F.transform("x", lambda e: F.struct(e["h"].alias("h"), e["g"].alias("g"), e["long"].alias("long")))
-    holders = Window.partitionBy("h", "g").orderBy("doc")
-    held = staged(reps.select("doc", F.explode(F.array_distinct(F.concat(lines, runs))).alias("e")).select("doc", "e.*")
-                  .withColumns({"first": F.first("doc").over(holders), "before": F.lag("doc").over(holders)}), "line-holders")
-    # a line's first holder and the one just before, and those of runs from anchor to anchor
-    some = staged(held.filter("before IS NOT NULL AND (long OR g IS NULL)")
-                  .select("doc", F.explode(F.array("first", "before")).alias("other")).distinct(), "line-pairs")
-    cut = staged(aligned_cuts(some, reps), "line-cuts")
-
-    # what they leave is compared with every earlier holder
-    held = held.filter("g IS NOT NULL").select("doc", "h", "g", "long", "before")
-    per_doc = (held.filter("before IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("h", "g")).alias("held")))
-    rest = staged(reps.join(per_doc, "doc").join(cut.groupBy("doc").agg(F.collect_set("at").alias("cut")), "doc", "left")
-                  .select("doc", "x", "held", "cut")
-                  .mapInArrow(_rest, f"doc {reps.schema['doc'].dataType.simpleString()}, h long, g int, long boolean"), "line-rest")
-    anchors = held.filter("long").select(F.col("doc").alias("other"), "h", "g")
-    by_anchor = (rest.filter("long").select("doc", "h", "g").join(anchors, ["h", "g"])
-                 .filter(F.col("other") < F.col("doc")).select("doc", "other"))
-    short = rest.filter("NOT long").select("doc", F.col("h").alias("short_h"), F.col("g").alias("short_g"))
-    with_short = held.filter("NOT long").select(F.col("doc").alias("other"), F.col("h").alias("short_h"), F.col("g").alias("short_g"))
-    by_short = (held.filter("long AND before IS NOT NULL").select("doc", "h", "g").join(short, "doc").join(anchors, ["h", "g"])
-                .filter(F.col("other") < F.col("doc")).select("doc", "other", "short_h", "short_g").distinct()
-                .join(with_short, ["other", "short_h", "short_g"], "left_semi").select("doc", "other"))
-    more = staged(by_anchor.union(by_short).distinct().join(some, ["doc", "other"], "left_anti"), "line-more-pairs")
-    return (cut.union(aligned_cuts(more, reps)).union(again)
+    key = ["kind", "h", "g"]
+    keys = staged(reps.mapInArrow(_keys, f"doc {kind}, kind int, h long, g int, line_h long, line_g int"), "line-keys")
+    firsts = staged(keys.groupBy(*key).agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1"), "line-firsts")
+    held = staged(keys.join(firsts.hint("merge"), key), "line-holders")
+    later = held.filter(F.col("first") < F.col("doc"))
+    cut = staged(aligned_cuts(later.filter(F.col("kind") != SHORT).select("doc", F.col("first").alias("other")).distinct(),
+                              reps), "line-cuts")
+
+    # what the first holders leave is tried with more and more of the others
+    asks = later.filter(F.col("kind").isin(ANCHOR, BESIDE)).select("doc", *key, "n", "line_h", "line_g")
+    others = held.filter(F.col("kind").isin(ANCHOR, BESIDE)).select(
+        F.col("doc").alias("other"), *key, (F.pmod(F.xxhash64("doc", *key), F.lit(1 << 30)) / (1 << 30) * F.col("n")).alias("turn"))
+    lines = later.filter(F.col("kind").isin(SHORT, ANCHOR)).groupBy("doc").agg(F.collect_list(F.struct("h", "g")).alias("held"))
+    open_docs, tried = reps.join(lines, "doc"), 0
+    while True:
+        done = cut.groupBy("doc").agg(F.collect_set("at").alias("cut"))
+        rest = staged(open_docs.join(done, "doc", "left").select("doc", "x", "held", "cut")
+                      .mapInArrow(_rest, f"doc {kind}, h long, g int, long boolean"), "line-rest")
+        asked = asks.join(rest.select("doc", F.col("h").alias("line_h"), F.col("g").alias("line_g")), ["doc", "line_h", "line_g"])
+        most = asked.agg(F.max("n")).first()[0] or 0
+        if tried >= most:
+            break
+        upto_turn = tried * 8 or TRIES
+        pairs = (asked.select("doc", *key).join(others.filter(F.col("turn").between(tried, upto_turn)).hint("merge"), key)
+                 .filter(F.col("other") < F.col("doc")).select("doc", "other").distinct())
+        cut = staged(cut.union(aligned_cuts(staged(pairs, "line-pairs"), reps)).distinct(), "line-cuts")
+        open_docs, tried = open_docs.join(rest.select("doc").distinct(), "doc", "left_semi"), upto_turn
+    gaps = between_anchors(rest.filter("NOT long").select("doc", "h", "g"), keys, reps)
+    return (cut.union(aligned_cuts(staged(gaps, "line-gap-pairs"), reps)).union(again)
             .groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("cut")))
 
 
