@@ -21,8 +21,8 @@ two anchors with the earlier documents that have one of its anchors before
 it and one after it.  The result is that of all pairs; few lines outlast
 the first rounds, and those are mostly lines with few earlier holders.
 
-Scale: the text is read three times and shuffled once, when the deletions meet
-it; everything else moves line hashes.  A line's first holder and their
+Scale: the text is read twice and shuffled once, when the deletions meet it;
+everything else moves line hashes.  A line's first holder and their
 number come from one aggregate; joins on line hashes are sort-merge joins that
 adaptive execution may split at a hot line, so the holders of a line are never
 in one task together.  The work on one row is bounded by the lines of two
@@ -216,11 +216,12 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and the first document with such lines and gaps."""
     line = F.struct(F.xxhash64("col").alias("h"), F.hash("col").alias("g"),
                     (F.size(split_words(F.col("col"))) >= least_words).alias("long"))
-    lines = (docs.select(document(id_col, text_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)))
-             .select("doc", F.col("pos").alias("at"), line.alias("e")).select("doc", "at", "e.*"))
-    # stage tables: joins of two plain exchanges can be split at a hot line or profile
-    shared = staged(lines.groupBy("h", "g").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-                    .filter(F.col("lo") != F.col("hi")).select("h", "g"), "line-shared")
+    # stage tables: texts are split once, and joins of two plain exchanges can be split at a hot line or profile
+    lines = staged(docs.select(document(id_col, text_col).alias("doc"), F.posexplode(F.split(text_col, "\n", -1)))
+                   .select("doc", F.col("pos").alias("at"), line.alias("e")).select("doc", "at", "e.*"), "line-hashes")
+    ends = [f(f"doc.{c}").alias(f"{f.__name__}_{c}") for c in ("id", "key") for f in (F.min, F.max)]
+    shared = staged(lines.groupBy("h", "g").agg(*ends, F.count("doc.id").alias("ids"), F.count("*").alias("n"))
+                    .filter("min_id != max_id OR min_key != max_key OR ids > 0 AND ids < n").select("h", "g"), "line-shared")
     found = (lines.join(shared.hint("merge"), ["h", "g"])
              .groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("at", "h", "g", "long"))).alias("x"))
              .filter(F.exists("x", lambda e: e["long"])))
