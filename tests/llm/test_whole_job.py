@@ -48,6 +48,12 @@ def test_blocks_are_those_of_all_earlier_documents(spark):
     assert got[2] == {0, 1}
 
 
+def test_blocks_of_odd_rows(odd, none):
+    rows = line_dedup.dedup(odd, find=line_dedup.blocks).select("row.*").collect()
+    assert len(rows) == odd.count() and sum(r.text is None for r in rows) == 2
+    assert line_dedup.dedup(none, find=line_dedup.blocks).collect() == []
+
+
 def spans_added(text, training):
     counts = np.zeros(pii_crf.TEMPLATES * pii_crf.FEATURES * pii_crf.LABELS + 2 * pii_crf.LABELS ** 2)
     for cells in pii_crf.count_cells(iter([pa.RecordBatch.from_pydict({"id": range(len(training)), "text": pa.array(training, pa.string())})])):
