@@ -89,11 +89,12 @@ def with_bags(df: DataFrame, id_col: str = "id", text_col: str = "content",
 
 def bow_entropy(words: Column | str, length: Column | None = None) -> Column:
     """-sum(f/L * log2(f/L)) over the bag, written as sum(f/L * log2(L/f));
-    L defaults to the token count."""
+    L defaults to the token count.  L is the element of a list of one, so that
+    it is computed once for a bag and not once for each of its words."""
     w = F.col(words) if isinstance(words, str) else words
     vals = F.map_values(w)
     L = length if length is not None else F.aggregate(vals, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.aggregate(vals, F.lit(0.0), lambda a, f: a + (f / L) * F.log2(L / f))
+    return F.transform(F.array(L), lambda l: F.aggregate(vals, F.lit(0.0), lambda a, f: a + (f / l) * F.log2(l / f)))[0]
 
 
 def bag_size(words: Column | str) -> Column:

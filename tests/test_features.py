@@ -1,4 +1,5 @@
 import math
+import time
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,16 @@ def test_entropy_and_feature(spark):
     assert out[1].w == {"x": 5.0, "a": 9.0}
 
 
+def test_entropy_of_a_long_bag_takes_its_total_once(spark):
+    # with the total taken again for each word, this bag alone needs 4e10 additions
+    n = 200_000
+    bag = spark.range(1).select(F.map_from_arrays(F.sequence(F.lit(1), F.lit(n)).cast("array<string>"),
+                                                  F.array_repeat(F.lit(1), n)).alias("words"))
+    start = time.monotonic()
+    assert math.isclose(bag.select(FE.bow_entropy("words")).first()[0], math.log2(n), rel_tol=1e-9)
+    assert time.monotonic() - start < 60
+
+
 def test_token_arrays(spark):
     df = spark.createDataFrame([({"a": 2, "b": 1},)], "words map<string,int>")
     assert sorted(df.select(FE.token_arrays("words").alias("t")).first().t) == ["a", "a", "b"]
