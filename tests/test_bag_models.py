@@ -103,6 +103,51 @@ def test_newton_over_many_blocks(monkeypatch, train):
     assert max(abs(a.get(k, 0) - b.get(k, 0)) for k in a | b) < 1e-5 and abs(one.facts["bias"] - many.facts["bias"]) < 1e-5
 
 
+@pytest.mark.parametrize("heavy", [3, 1000])
+def test_preconditioner_of_heavy_rows_and_a_diagonal(spark, monkeypatch, train, heavy):
+    monkeypatch.setattr(newton, "HEAVY", heavy)
+    index = csr.word_index(train).cache()
+    table = csr.pack(csr.sparse_rows(train, index, F.when(F.col("type") == "reliable", 1.0).otherwise(-1.0)), 3)
+    blocks, dim = csr.load(table), index.count()
+    rnd = np.random.RandomState(3)
+    theta, v = rnd.randn(dim + 1) * 0.3, rnd.randn(dim + 1)
+    problem = newton.Problem("logistic", 0.7, penalised_bias=True)
+    xs, ys = [], []
+    for b in blocks.collect():
+        x = np.zeros((len(b), dim + 1))
+        x[:, dim] = 1.0
+        x[b.row(), b.idx] = b.val
+        xs.append(x)
+        ys.append(b.y)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    bend = 0.7 * newton.logistic(y * (x @ theta))[2]
+    top = np.argsort(-bend * (x ** 2).sum(1))[:heavy]
+    rest = np.setdiff1d(np.arange(len(y)), top)
+    m = np.eye(dim + 1) + x[top].T @ (bend[top, None] * x[top]) + np.diag((bend[rest, None] * x[rest] ** 2).sum(0))
+    got = newton.preconditioner(*newton.curvature(blocks, dim, theta, problem), dim, problem)(v)
+    assert np.allclose(got, np.linalg.solve(m, v), atol=1e-5)
+
+
+def test_newton_needs_few_products_on_long_and_short_texts_in_many_blocks(spark, monkeypatch):
+    """Rows of very different lengths and more words than rows, in eight blocks."""
+    rnd, rows = np.random.RandomState(5), []
+    for i in range(240):
+        n = 600 if i % 20 == 0 else 12
+        words = np.unique((900 * rnd.rand(n) ** 3).astype(int), return_counts=True)
+        rows.append((i, "reliable" if rnd.rand() < 0.6 else "fake", {f"w{w}": int(c) for w, c in zip(*words)}))
+    train = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(csr, "BLOCK_ROWS", 30)
+    calls, product = [], newton.hessian_times
+    monkeypatch.setattr(newton, "hessian_times", lambda *a: calls.append(1) or product(*a))
+    model = BM.LinearBag(kind="svm").fit(train)
+    assert len(calls) < 400
+    names, x, y = dense(rows)
+    table = {r.word: r.w for r in model.tables["weights"].collect()}
+    w, b = np.array([table.get(n, 0.0) for n in names]), model.facts["bias"]
+    slope = newton.squared_hinge(y * (x @ w + b))[1] * y
+    assert np.abs(w + x.T @ slope).max() < 1e-5 and abs(b + slope.sum()) < 1e-5
+
+
 def test_newton_says_if_it_does_not_arrive(train):
     with pytest.raises(ValueError, match="no minimum within 1 steps"):
         BM.LinearBag(kind="logistic", options='{"max_iter": 1}').fit(train)
