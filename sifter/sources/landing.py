@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sifter.operators import bitset, dedup, splits
 from sifter.session import stage
+from sifter.sources import tables
 
 #: Buckets of a landed table: a parameter of the table, to raise with its size.
 BUCKETS = 64
@@ -37,8 +38,7 @@ def kept_texts(docs: DataFrame, ids: DataFrame, partitions: int | None = None) -
     """``docs`` (id, content, not distributed) joined with ``ids``; only texts
     whose id may be kept are distributed, by id."""
     maybe = bitset.prefilter(docs, "id", ids)
-    spread = maybe.repartition(partitions, "id") if partitions else maybe.repartition("id")
-    return spread.join(ids, "id")
+    return maybe.repartition(partitions or tables.text_partitions(docs), "id").join(ids, "id")
 
 
 def land_bucketed(df: DataFrame, path: str, buckets: int = BUCKETS, by: str = "id") -> DataFrame:

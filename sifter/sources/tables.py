@@ -20,6 +20,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_partitions(df: DataFrame) -> int:
+    """Partitions for texts that a scan reads: two for each of its tasks, and the
+    session's shuffle partitions at least.  A given number isn't merged by
+    adaptive execution, which goes by the bytes of packed texts; their words,
+    counted in a task's memory, are many times as large."""
+    return max(2 * df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def read_documents(spark: SparkSession, sf_dir: str, *cols: str,
                    distribute: bool = True) -> DataFrame:
     """The documents table, hash-distributed by ``doc_id``.
@@ -30,12 +38,12 @@ def read_documents(spark: SparkSession, sf_dir: str, *cols: str,
     duplicate lists) finds its required distribution already in place and
     adds no exchange; a scan of few large row groups no longer pins the
     text work to few tasks.  Storage bucketed by id makes this shuffle
-    free as well.
+    free as well.  The texts are dealt to ``text_partitions`` tasks.
     """
     df = read_table(spark, sf_dir, "documents")
     if cols:
         df = df.select(*cols)
-    return df.repartition("doc_id") if distribute else df
+    return df.repartition(text_partitions(df), "doc_id") if distribute else df
 
 
 def orig_type_from_labels(has_label: Column, quality: Column, toxic: Column) -> Column:

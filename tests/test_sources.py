@@ -1,5 +1,8 @@
+from pyspark.sql import functions as F
+
 from sifter.operators import labels
 from sifter.sources import files as FI
+from sifter.sources import landing, tables
 
 HEADER = ",".join(FI.CORPUS_COLUMNS)
 
@@ -220,3 +223,15 @@ def test_parallel_csv_equals_the_whole_file_reader(spark, tmp_path):
     for plain, parallel in zip(FI.read_corpus_csv(spark, str(p)), FI.read_corpus_csv(spark, str(p), parallel=True)):
         columns = [c for c in plain.columns if c != FI.CORRUPT]
         assert sorted(map(str, plain.select(columns).collect())) == sorted(map(str, parallel.select(columns).collect()))
+
+
+def test_texts_are_dealt_to_more_tasks_than_their_bytes_ask_for(spark, tmp_path):
+    """Adaptive execution merges small partitions of packed texts; their words are counted in one task's memory."""
+    spark.range(400).selectExpr("id AS doc_id", "concat('word', id) AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    want = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tables.read_documents(spark, str(tmp_path), "doc_id", "text")
+    ids = spark.range(400).withColumn("split", F.lit(3))
+    docs = tables.read_table(spark, str(tmp_path), "documents").selectExpr("doc_id AS id", "text AS content")
+    for df in (dealt, landing.kept_texts(docs, ids)):
+        assert df.count() == 400 and df.select(F.spark_partition_id()).distinct().count() >= min(want, 4)
+    assert tables.text_partitions(docs) >= want
