@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
+from sifter.session import stage
 
 #: Ranks (as shares) on either side of a quantile that are looked at row by
 #: row, the approximate quantiles' accuracy, and rows from which on it holds.
@@ -54,8 +54,12 @@ def exact_quantiles(df: DataFrame, value: str, by: str, probs: Sequence[float])
 def box_stats(df: DataFrame, value: str, by: str, whis: float = 1.0, approx: bool = False) -> DataFrame:
     """Per group: n, mean, q1, median, q3, whisker_low, whisker_high
     (most extreme values within ``whis`` * IQR of the box).  ``approx``:
-    quartiles from the mergeable sketch alone."""
-    v, probs = F.col(value).cast("double"), (0.25, 0.5, 0.75)
+    quartiles from the mergeable sketch alone.
+
+    The values are written once, beside their group: three passes read them,
+    and what they are derived from (a text's words) costs far more."""
+    df = stage(df.select(by, F.col(value).cast("double").alias(value)), "box-values")
+    v, probs = F.col(value), (0.25, 0.5, 0.75)
     if approx:
         q = (df.groupBy(by).agg(F.percentile_approx(v, list(probs), ACCURACY).alias("_q"))
              .select(by, F.posexplode("_q").alias("i", "q")))

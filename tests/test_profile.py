@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from sifter.operators import profile as PR
 
 
@@ -27,3 +29,17 @@ def test_balance_and_nulls(spark):
     assert b == {"fake": (1, 0.3333), "reliable": (2, 0.6667)}
     n = PR.null_counts(df).first()
     assert (n.type, n.x) == (0, 1)
+
+
+def test_box_stats_derives_its_values_once(spark):
+    """Three passes read the values; what they come from may be a whole text."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(n):
+        seen.add(1)
+        return float(n)
+
+    df = spark.range(40).select((F.col("id") % 2).alias("g"), value("id").alias("v"))
+    assert {r.g: (r.n, r.median) for r in PR.box_stats(df, "v", "g").collect()} == {0: (20, 19.0), 1: (20, 20.0)}
+    assert seen.value == 40
