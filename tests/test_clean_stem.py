@@ -68,3 +68,17 @@ def test_with_clean_equals_clean_text(spark):
     a = C.with_clean(df, "t", "c1").withColumn("c2", C.clean_text("t"))
     assert all(r.c1 == r.c2 for r in a.collect())
     assert a.filter(F.col("c1") != F.col("c2")).count() == 0
+
+
+def test_skipped_steps_change_no_text(spark):
+    """Steps that a text can't match are skipped; the currency class for Java holds the same characters."""
+    marks = [chr(c) for c in [*range(1, 0xD800, 7), *range(0x20A0, 0x20C1), *range(0xFDF0, 0x10000)]] + list(C.CURRENCY_RE[1:-1])
+    texts = [f"{m} a{m}1" for m in marks] + ["", None, "plain", "555-123-4567", "x@y.org", "a  b\t", "www.a.b/ß 7", "Ægir $3"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for opts in (C.DEFAULT, C.LIGHT, C.CleanOptions(numbers=False)):
+        every = F.coalesce("t", F.lit(""))
+        for kind, a, b, _ in C._steps(opts):
+            every = C._apply(every, kind, a, b)
+        assert df.filter(~C.clean_text("t", opts).eqNullSafe(every)).collect() == []
+    both = df.select(F.regexp_replace("t", C.CURRENCY_RE, "").alias("a"), F.regexp_replace("t", C.CURRENCY_CLASS, "").alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
