@@ -235,3 +235,13 @@ def test_texts_are_dealt_to_more_tasks_than_their_bytes_ask_for(spark, tmp_path)
     for df in (dealt, landing.kept_texts(docs, ids)):
         assert df.count() == 400 and df.select(F.spark_partition_id()).distinct().count() >= min(want, 4)
     assert tables.text_partitions(docs) >= want
+
+
+def test_dict_text_is_parsed_once(spark, tmp_path, capsys):
+    from sifter.plans import catalog
+    spark.createDataFrame([(1, "a b's a"), (2, ""), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = catalog.REGISTRY["literal_map_roundtrip"].fn(spark, str(tmp_path))
+    assert sorted((r.id, r.word, r.n) for r in df.collect()) == [(1, "a", 2), (1, "bs", 1)]
+    df.explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("regexp_extract_all(") == 1
