@@ -1001,7 +1001,8 @@ def q_statements_tsv(spark, sf_dir):
     """Second corpus written as TSV files and read back (S5): the ids are the
     record numbers in file order, over several files."""
     path = scratch_path(spark, "statements-tsv")
-    FI.write_statements_tsv(tables.statements(spark, sf_dir), path)
+    FI.write_statements_tsv(tables.statements(spark, sf_dir), path,
+                            files=max(4, tables.text_partitions(tables.read_table(spark, sf_dir, "documents"))))
     return FI.read_statements_tsv(spark, path).select("id", "orig_type", F.md5("content").alias("content_md5"))
 
 

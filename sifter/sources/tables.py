@@ -20,12 +20,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Stored bytes of texts that one task is given, about.
+TEXT_BYTES = 8 * 1024 * 1024
+
+
 def text_partitions(df: DataFrame) -> int:
-    """Partitions for texts that a scan reads: two for each of its tasks, and the
-    session's shuffle partitions at least.  A given number isn't merged by
-    adaptive execution, which goes by the bytes of packed texts; their words,
-    counted in a task's memory, are many times as large."""
-    return max(2 * df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions for texts that a scan reads: one for each ``TEXT_BYTES`` of its
+    files, two for each of its tasks and the session's shuffle partitions at least.
+    A given number isn't merged by adaptive execution, which goes by the bytes of
+    packed texts; their words, counted in a task's memory, are many times as large."""
+    stored = 0
+    if df.inputFiles():
+        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        stored = files.agg(F.sum("file_size")).first()[0] or 0
+    return max(-(-stored // TEXT_BYTES), 2 * df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_documents(spark: SparkSession, sf_dir: str, *cols: str,

@@ -237,6 +237,25 @@ def test_texts_are_dealt_to_more_tasks_than_their_bytes_ask_for(spark, tmp_path)
     assert tables.text_partitions(docs) >= want
 
 
+def test_text_partitions_follow_the_stored_bytes(spark, tmp_path, monkeypatch):
+    spark.range(400).selectExpr("id AS doc_id", "concat('word', id) AS text").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = tables.read_table(spark, str(tmp_path), "documents").select(F.col("text").alias("content"))
+    monkeypatch.setattr(tables, "TEXT_BYTES", 10)
+    stored = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    assert tables.text_partitions(docs) == -(-stored // 10) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_statements_files_grow_with_the_texts(spark, tmp_path, monkeypatch):
+    from sifter.plans import catalog
+    spark.range(60).selectExpr("id AS doc_id", "concat('word ', id) AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(9).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(tables, "text_partitions", lambda df: 11)
+    counts, write = [], FI.write_statements_tsv
+    monkeypatch.setattr(FI, "write_statements_tsv", lambda df, path, files=4: (counts.append(files), write(df, path, files)))
+    assert [r.id for r in catalog.REGISTRY["statements_tsv"].fn(spark, str(tmp_path)).orderBy("id").collect()] == list(range(60))
+    assert counts == [11]
+
+
 def test_dict_text_is_parsed_once(spark, tmp_path, capsys):
     from sifter.plans import catalog
     spark.createDataFrame([(1, "a b's a"), (2, ""), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
