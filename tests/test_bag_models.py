@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from sifter.operators import bag_models as BM
-from sifter.operators import csr, forest, lexicon, newton
+from sifter.operators import csr, dual, forest, lexicon, newton
 from sifter.operators import passive_aggressive as PA
 
 SCHEMA = "id long, type string, words map<string,int>"
@@ -66,6 +66,32 @@ def test_newton_finds_the_minimum(train, kind, loss):
         assert objective(w, b) <= objective(w + rnd.randn(len(w)) * 0.01, b + rnd.randn() * 0.01)
 
 
+def test_svm_finds_which_rows_count_in_few_passes(spark):
+    """Rows whose lengths differ by orders of magnitude, most of them separable:
+    Newton steps on the weights misjudge which rows count."""
+    rnd = np.random.RandomState(5)
+    n, dim = 300, 900
+    parts = []
+    for lo in range(0, n, 100):
+        idx, val = [], []
+        for _ in range(100):
+            some = np.sort(rnd.choice(dim, rnd.choice([5, 40, 200]), replace=False)).astype(np.int32)
+            idx.append(some)
+            val.append(np.ceil(rnd.pareto(1.0, len(some)) * 2).clip(1, 500))
+        ptr = np.append(0, np.cumsum([len(i) for i in idx]))
+        parts.append(csr.Block(np.arange(lo, lo + 100), rnd.choice([-1.0, 1.0], 100), ptr, np.concatenate(idx), np.concatenate(val)))
+    rows = spark.sparkContext.parallelize(parts, 3).cache()
+    problem = newton.Problem("squared_hinge", 1.0, penalised_bias=True)
+    looks = []
+
+    def look(w):
+        looks.append(np.abs(newton.evaluate(rows, dim, w, problem)[1]).max())
+        return looks[-1]
+
+    w = dual.minimise(rows, dim, 1.0, 1e-6, look)
+    assert look(w) <= 1e-6 and len(looks) <= 12
+
+
 def test_losses_have_their_derivatives():
     z, e = np.linspace(-4, 4, 41) + 0.013, 1e-6
     for loss in newton.LOSSES.values():
